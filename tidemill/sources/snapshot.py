@@ -1,0 +1,125 @@
+"""Versioned parquet table: every change is a new version, every version stays readable.
+
+Rows are placed in ``buckets`` by the hash of their key. A version writes only
+the buckets it changes to ``data/version=N/bucket=K`` and a manifest that names,
+for every bucket, the version which holds it. The manifest's ``_SUCCESS`` file is the
+commit: a version without it does not exist for readers, so a job that dies half-way
+leaves the table as it was and may simply run again. One writer per table.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+_MANIFEST = "bucket int, data_version bigint, batch_id bigint, fields string"
+
+
+class SnapshotTable:
+    """Handle of a versioned table at ``path``, keyed by ``keys``."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 16):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.keys = list(keys)
+        self.buckets = buckets
+
+    # -- commits ---------------------------------------------------------
+
+    def versions(self) -> list[int]:
+        """Committed versions, oldest first."""
+        jvm = self.spark._jvm
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path}/manifest/version=*/_SUCCESS")
+        file_system = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = file_system.globStatus(pattern) or []
+        return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found)
+
+    def latest_version(self) -> int | None:
+        committed = self.versions()
+        return committed[-1] if committed else None
+
+    def _manifest(self, version: int) -> list:
+        """One row per filled bucket, at most ``buckets`` rows."""
+        return self.spark.read.schema(_MANIFEST).parquet(f"{self.path}/manifest/version={version}").collect()
+
+    def last_batch(self) -> int | None:
+        """Highest batch id committed through :meth:`write`."""
+        version = self.latest_version()
+        if version is None:
+            return None
+        ids = [row.batch_id for row in self._manifest(version) if row.batch_id is not None]
+        return max(ids, default=None)
+
+    # -- reading ---------------------------------------------------------
+
+    def bucket_of(self) -> Column:
+        """Bucket number of a row's key."""
+        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
+
+    def read(self, version: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame:
+        """Rows of a version (the latest by default), of some buckets if named."""
+        if version is None:
+            version = self.latest_version()
+        if version is None or version not in self.versions():
+            raise ValueError(f"no committed version {version} at {self.path}")
+        manifest = self._manifest(version)
+        schema = manifest[0].fields
+        wanted = None if buckets is None else set(buckets)
+        paths = [
+            f"{self.path}/data/version={row.data_version}/bucket={row.bucket}"
+            for row in manifest
+            if row.bucket >= 0 and (wanted is None or row.bucket in wanted)
+        ]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    # -- writing ---------------------------------------------------------
+
+    def write(self, df: DataFrame, batch_id: int | None = None, only_buckets: Sequence[int] | None = None) -> int:
+        """Commit ``df`` as the next version and return its number.
+
+        With ``only_buckets`` the frame holds the new content of those buckets
+        and all others are carried over by reference. A batch id at or below
+        the last committed one is a replay and changes nothing.
+        """
+        latest = self.latest_version()
+        if batch_id is not None and latest is not None:
+            done = self.last_batch()
+            if done is not None and batch_id <= done:
+                return latest
+        version = 0 if latest is None else latest + 1
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        placed = df.withColumn("bucket", self.bucket_of())
+        (
+            placed.hint("rebalance", "bucket")  # one task per bucket, large buckets split
+            .write.mode("overwrite")
+            .partitionBy("bucket")
+            .parquet(f"{self.path}/data/version={version}")
+        )
+        held = {}
+        if only_buckets is not None and latest is not None:
+            rewritten = set(only_buckets)
+            held = {r.bucket: r.data_version for r in self._manifest(latest) if r.bucket not in rewritten and r.bucket >= 0}
+        held.update(dict.fromkeys(self._filled(version), version))
+        # Bucket -1 keeps schema and batch id of a version without rows.
+        rows = [(bucket, at, batch_id, schema) for bucket, at in sorted({**held, -1: version}.items())]
+        (
+            self.spark.createDataFrame(rows, _MANIFEST)
+            .coalesce(1)
+            .write.mode("overwrite")
+            .parquet(f"{self.path}/manifest/version={version}")
+        )
+        return version
+
+    def _filled(self, version: int) -> list[int]:
+        jvm = self.spark._jvm
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path}/data/version={version}/bucket=*")
+        file_system = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return [int(s.getPath().getName().split("=")[1]) for s in file_system.globStatus(pattern) or []]
+
+    def touched_buckets(self, changes: DataFrame) -> list[int]:
+        """Buckets that hold any changed key, at most ``buckets`` numbers."""
+        return [r[0] for r in changes.select(self.bucket_of().alias("b")).distinct().collect()]
