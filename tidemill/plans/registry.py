@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.plans import feeds
+from tidemill.plans import feeds, relational, timed
 
-_ALL = {**feeds.QUERIES}
+_ALL = {**feeds.QUERIES, **relational.QUERIES, **timed.QUERIES}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
