@@ -282,11 +282,12 @@ def kmeans_hex_ranges(spark, folder):
 
 
 def path_groups(spark, folder):
-    return paths.path_groups(table(spark, folder, "pages"), 5, "url")
+    """A page that is also a folder of more pages than fit keeps a NULL group."""
+    return paths.path_groups(table(spark, folder, "pages"), 5, "url", strict=False)
 
 
 def path_group_sizes(spark, folder):
-    return paths.group_sizes(paths.path_groups(table(spark, folder, "pages"), 5, "url"))
+    return paths.group_sizes(path_groups(spark, folder))
 
 
 def path_conflicts(spark, folder):
@@ -394,7 +395,7 @@ UNION ALL SELECT 2, p_partkey, p_name, p_size FROM part WHERE p_partkey % 2 <> 0
     "kmeans_ranges": (kmeans_ranges, None),
     "kmeans_time_ranges": (kmeans_time_ranges, None),
     "kmeans_hex_ranges": (kmeans_hex_ranges, None),
-    "path_groups": (path_groups, _PREFIXES + "SELECT path, prefix FROM g"),
+    "path_groups": (path_groups, _PREFIXES + "SELECT p.path, g.prefix FROM p LEFT JOIN g ON p.path = g.path"),
     "path_group_sizes": (path_group_sizes, _PREFIXES + """
 SELECT prefix, count(*) AS n_files, min(path) AS first_path FROM g GROUP BY prefix"""),
     "path_conflicts": (path_conflicts, """
