@@ -9,21 +9,22 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def split_words(lines: pd.Series) -> pd.Series:
     """Words of each line; a missing line has none. Column form: ``parse.words``."""
     return lines.map(lambda line: [] if line is None else line.split())
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def mean_of(values: pd.Series) -> float:
     """Grouped average as user code, for tables only. Column form: ``avg``."""
     return float(values.mean()) if values.notna().any() else None
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def fail_from_ten(numbers: pd.Series) -> pd.Series:
     """Numbers below ten as they are; fails the query on any other."""
     over = numbers[numbers >= 10]

@@ -78,9 +78,9 @@ def equi_join(
     if hot_left is None and hot_right is None:
         return left.alias("l").join(right.alias("r"), equal & condition)
     grid = _grid(hot_left, hot_right, keys)
-    left_salted = _salted(left, keys, grid, left_id, own="_n", other="_m", own_salt="_a", other_salt="_b")
-    right_salted = _salted(right, keys, grid, right_id, own="_m", other="_n", own_salt="_b", other_salt="_a")
-    equal = equal & (F.col("l._a") == F.col("r._a")) & (F.col("l._b") == F.col("r._b"))
+    left_salted = _salted(left, keys, grid, left_id, own="_n", other="_m", own_salt="_left_part", other_salt="_right_part")
+    right_salted = _salted(right, keys, grid, right_id, own="_m", other="_n", own_salt="_right_part", other_salt="_left_part")
+    equal = equal & (F.col("l._left_part") == F.col("r._left_part")) & (F.col("l._right_part") == F.col("r._right_part"))
     return left_salted.alias("l").join(right_salted.alias("r"), equal & condition)
 
 
