@@ -107,9 +107,14 @@ def space_tokens(text: Column) -> Column:
     )
 
 
+def word_pieces(text: Column) -> Column:
+    """Split on runs of whitespace; may hold an empty piece at either end, for callers that drop those later."""
+    return F.split(text, WHITESPACE_RUN)
+
+
 def words(text: Column) -> Column:
     """Split on runs of whitespace without empty words; NULL text has no words."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), WHITESPACE_RUN), lambda w: w != "")
+    return F.filter(word_pieces(F.coalesce(text, F.lit(""))), lambda w: w != "")
 
 
 def or_default(column: Column, default: str = "n/a") -> Column:

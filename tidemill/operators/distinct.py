@@ -86,6 +86,23 @@ def latest_windows(windows: DataFrame) -> DataFrame:
     return windows.groupBy("user_type", "window_s").agg(F.max("start_time").alias("start_time"))
 
 
+def latest_segment_windows(
+    df: DataFrame, segments: Sequence[Segment], windows: Sequence[int], ts: str, user: str
+) -> DataFrame:
+    """:func:`latest_windows` of a whole table straight from its rows.
+
+    One global aggregate, without the shuffle by user that the counts need.
+    """
+    seen = df.where(F.col(user).isNotNull()).agg(
+        *[F.max(F.when(s.predicate, F.col(ts))).alias(f"t{i}") for i, s in enumerate(segments)]
+    )
+    series = F.array(*[
+        F.struct(F.lit(s.name).alias("user_type"), F.lit(w).alias("window_s"), time_bucket(F.col(f"t{i}"), w).alias("start_time"))
+        for i, s in enumerate(segments) for w in windows
+    ])
+    return seen.select(F.explode(series).alias("s")).select("s.*").where(F.col("start_time").isNotNull())
+
+
 def closed(windows: DataFrame, latest: DataFrame) -> DataFrame:
     """Windows that are not the latest of their series."""
     return windows.join(F.broadcast(latest), WINDOW, "left_anti")

@@ -6,22 +6,43 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the greatest ``order`` per key.
 
-    ``max_by`` is combined map-side: one row per key and task is shuffled, so
-    a hot key is no heavier than any other. Give ``order`` a full tie-break.
+    The extreme row is found map-side first: one row per key and task is
+    shuffled, so a hot key is no heavier than any other. The result stays
+    partitioned by the keys. Give ``order`` a full tie-break; of equal rows the
+    one with the greater other columns wins.
     """
-    row = F.struct(*[F.col(c) for c in df.columns])
-    return df.groupBy(*keys).agg(F.max_by(row, F.struct(*order)).alias("_row")).select("_row.*")
+    return _extreme_row(df, keys, order, F.max, F.max_by)
 
 
 def oldest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the smallest ``order`` per key: first seen wins."""
-    row = F.struct(*[F.col(c) for c in df.columns])
-    return df.groupBy(*keys).agg(F.min_by(row, F.struct(*order)).alias("_row")).select("_row.*")
+    return _extreme_row(df, keys, order, F.min, F.min_by)
+
+
+def _extreme_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], extreme, extreme_by) -> DataFrame:
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    first = [c for c in order if c not in keys]
+    if all(_orderable(df.schema[c].dataType) for c in rest):
+        row = extreme(F.struct(*first, *rest))
+    else:
+        row = extreme_by(F.struct(*first, *rest), F.struct(*order))
+    return df.groupBy(*keys).agg(row.alias("_row")).select(
+        *[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns]
+    )
+
+
+def _orderable(data_type: T.DataType) -> bool:
+    if isinstance(data_type, T.StructType):
+        return all(_orderable(f.dataType) for f in data_type.fields)
+    if isinstance(data_type, T.ArrayType):
+        return _orderable(data_type.elementType)
+    return not isinstance(data_type, (T.MapType, T.VariantType))
 
 
 def latest_value(value: str, *order: str) -> Column:

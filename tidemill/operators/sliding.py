@@ -37,28 +37,31 @@ def sliding_running_sum(
     """Add the sliding sum after each event, events taken in (time, tie-break) order.
 
     Earlier buckets come from one row per (key, bucket); the own bucket is a
-    running sum inside (key, bucket), which splits even a hot one.
+    running sum inside (key, bucket), which splits even a hot one. Both are
+    partitioned by (key, bucket), so the events are shuffled once.
     """
     check_widths(window, width)
     whole, rest = divmod(window, width)
-    events = df.withColumn("_b", bucket_seconds(F.col(ts), width))
-    sums = events.groupBy(key, "_b").agg(F.sum(value).alias("_s"))
+    # A struct is never NULL, so events without a key join by plain equality too.
+    events = df.withColumn("_k", F.struct(key)).withColumn("_b", bucket_seconds(F.col(ts), width))
+    sums = events.groupBy("_k", "_b").agg(F.sum(value).alias("_s"))
 
     def before(buckets: int):
         """Sum of that many buckets just before this one."""
         if buckets == 0:
             return F.lit(0)
-        frame = Window.partitionBy(key).orderBy("_b").rangeBetween(-buckets * width, -width)
+        frame = Window.partitionBy("_k").orderBy("_b").rangeBetween(-buckets * width, -width)
         return F.coalesce(F.sum("_s").over(frame), F.lit(0))
 
-    earlier = sums.select(key, "_b", before(whole - 1).alias("_short"), before(whole).alias("_long"))
-    running = running_sum(events, [key, "_b"], [ts, *tie_break], value, "_own", hot_rows)
+    earlier = sums.select("_k", "_b", before(whole - 1).alias("_short"), before(whole).alias("_long"))
+    running = running_sum(events, ["_k", "_b"], [ts, *tie_break], value, "_own", hot_rows)
     offset = F.unix_timestamp(F.col(f"e.{ts}")) - F.col("e._b")
-    total = F.col("_own") + F.when(offset >= rest, F.col("_short")).otherwise(F.col("_long"))
-    same = F.col(f"e.{key}").eqNullSafe(F.col(f"p.{key}")) & F.col("e._b").eqNullSafe(F.col("p._b"))
+    before_own = F.when(offset >= rest, F.col("_short")).otherwise(F.col("_long"))
+    total = F.col("_own") + F.coalesce(before_own, F.lit(0))
+    same = (F.col("e._k") == F.col("p._k")) & (F.col("e._b") == F.col("p._b"))
     return (
         running.alias("e")
-        .join(earlier.alias("p"), same)
+        .join(earlier.alias("p"), same, "left")
         .select(*[F.col(f"e.{c}") for c in df.columns], total.cast("bigint").alias(name))
     )
 

@@ -17,7 +17,7 @@ from tidemill.sources.tables import raw_table, table, zoneless
 
 
 def word_counts(spark, folder):
-    return aggregate.word_count(raw_table(spark, folder, "documents"), parse.words(F.col("text")))
+    return aggregate.word_count(raw_table(spark, folder, "documents"), parse.word_pieces(F.col("text")), drop_empty=True)
 
 
 def word_count_topk(spark, folder):

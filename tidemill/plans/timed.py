@@ -17,23 +17,24 @@ def _windows(spark, folder):
     return distinct.segment_distinct(table(spark, folder, "events"), event_segments(), WIDTHS, "ts", "user_id")
 
 
+def _latest(spark, folder):
+    return distinct.latest_segment_windows(table(spark, folder, "events"), event_segments(), WIDTHS, "ts", "user_id")
+
+
 def segment_distinct(spark, folder):
     return zoneless(_windows(spark, folder))
 
 
 def closed_windows(spark, folder):
-    windows = _windows(spark, folder)
-    return zoneless(distinct.closed(windows, distinct.latest_windows(windows)))
+    return zoneless(distinct.closed(_windows(spark, folder), _latest(spark, folder)))
 
 
 def open_windows(spark, folder):
-    windows = _windows(spark, folder)
-    return zoneless(distinct.still_open(windows, distinct.latest_windows(windows)))
+    return zoneless(distinct.still_open(_windows(spark, folder), _latest(spark, folder)))
 
 
 def window_metrics(spark, folder):
-    windows = _windows(spark, folder)
-    return zoneless(distinct.metric_points(distinct.closed(windows, distinct.latest_windows(windows))))
+    return zoneless(distinct.metric_points(distinct.closed(_windows(spark, folder), _latest(spark, folder))))
 
 
 def user_state_merge(spark, folder):
