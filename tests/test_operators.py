@@ -8,7 +8,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidemill.operators import aggregate, changes, cluster, control, joins, latest, ordered, panes, paths, progress, sessions, sketch, skew
+from tidemill.operators import aggregate, changes, cluster, control, distinct, joins, latest, ordered, panes, paths, progress, sessions, sketch, skew
+
+from tidemill.sources.tables import table
 
 START = dt.datetime(2024, 1, 1)
 
@@ -89,6 +91,31 @@ def test_sessions_at_the_gap(spark):
         (times[0], times[2], 3), (times[3], times[3], 2), (times[5], times[5], 1)]
 
 
+def test_single_pass_equals_union_of_series(spark, data):
+    """All segments and widths in one pass against one aggregate each."""
+    from tidemill.functions.timefn import time_bucket
+    from tidemill.plans.inputs import event_segments
+    events = table(spark, data, "events")
+    segments, widths = event_segments(), [600, 3600]
+    each = [
+        events.where(s.predicate).groupBy(time_bucket(F.col("ts"), w).alias("start_time"))
+        .agg(F.countDistinct("user_id").alias("distinct_users"))
+        .select(F.lit(s.name).alias("user_type"), F.lit(w).alias("window_s"), "start_time", "distinct_users")
+        for s in segments for w in widths
+    ]
+    got = distinct.segment_distinct(events, segments, widths, "ts", "user_id").select(each[0].columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, distinct.union_series(each).collect()))
+    latest_now = distinct.latest_windows(got).select("user_type", "window_s", "start_time")
+    direct = distinct.latest_segment_windows(events, segments, widths, "ts", "user_id")
+    assert sorted(map(tuple, direct.collect())) == sorted(map(tuple, latest_now.collect()))
+
+
+def test_newest_row_with_map_column(spark):
+    df = spark.createDataFrame([("a", 1, {"x": 1}), ("a", 2, {"x": 2})], "k string, o int, m map<string,int>")
+    assert latest.newest_per_key(df, ["k"], ["o"]).first().m == {"x": 2}
+    assert latest.oldest_per_key(df, ["k"], ["o"]).first().m == {"x": 1}
+
+
 # -- skew ---------------------------------------------------------------------
 
 def _interval_rows(spark):

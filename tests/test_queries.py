@@ -28,5 +28,5 @@ def test_entry(spark):
 
 def test_only_models_have_no_sql():
     assert {n for n in entry_points.queries() if n not in SQL} == {
-        "kmeans_ranges", "kmeans_time_ranges", "kmeans_hex_ranges"
+        "kmeans_ranges", "kmeans_time_ranges", "kmeans_hex_ranges", "stream_time_clusters"
     }

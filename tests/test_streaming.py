@@ -304,3 +304,12 @@ def test_console(spark, tmp_path):
     query = sinks.to_console(feed.stream(), "shown", str(tmp_path / "cp"))
     query.awaitTermination()
     assert query.exception() is None and query.lastProgress["numInputRows"] == 1
+
+
+def test_observed_row_counts(spark, tmp_path):
+    feed = FileFeed(spark, tmp_path / "in", "v string")
+    feed.add([("a",), ("b",)])
+    query = (sinks.with_row_count(feed.stream(), "seen").writeStream.format("noop")
+             .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start())
+    query.awaitTermination()
+    assert query.recentProgress[0]["observedMetrics"]["seen"][0] == 2

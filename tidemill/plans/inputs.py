@@ -21,14 +21,18 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def envelope(spark: SparkSession, folder: str) -> DataFrame:
-    """The events as Kafka records on three partitions."""
+    return envelope_of(events(spark, folder))
+
+
+def envelope_of(rows: DataFrame) -> DataFrame:
+    """Events as Kafka records on three partitions."""
     value = F.struct(
         F.col("event_type").alias("name"),
         F.col("user_id").cast("string").alias("user_id"),
         F.col("cents").alias("value"),
         F.col("props").alias("params"),
     )
-    return events(spark, folder).select(
+    return rows.select(
         F.col("user_id").cast("string").cast("binary").alias("key"),
         F.to_json(value).cast("binary").alias("value"),
         F.lit(TOPIC).alias("topic"),
@@ -57,6 +61,10 @@ def order_target(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def order_changes(spark: SparkSession, folder: str) -> DataFrame:
+    return order_changes_of(table(spark, folder, "orders"))
+
+
+def order_changes_of(orders: DataFrame) -> DataFrame:
     """Change records of the orders: one each, a later second one for every seventh."""
     key = F.col("o_orderkey")
     op = F.when(key % 5 == 0, "D").when(key % 5 <= 2, "U").otherwise("I")
@@ -81,8 +89,7 @@ def order_changes(spark: SparkSession, folder: str) -> DataFrame:
     second = change(F.lit("U"), "Y", 2, F.col("o_orderdate") + F.expr("INTERVAL 1 DAY"), 1)
     feed = F.when(key % 7 == 0, F.array(first, second)).otherwise(F.array(first))
     return (
-        table(spark, folder, "orders")
-        .select("o_orderkey", "o_orderdate", cents("o_totalprice").alias("c"))
+        orders.select("o_orderkey", "o_orderdate", cents("o_totalprice").alias("c"))
         .select(F.explode(feed).alias("r"), (key % 3).cast("int").alias("partition"))
         .select("r.*", "partition")
     )

@@ -49,6 +49,12 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def use_rocksdb(spark: SparkSession) -> SparkSession:
+    """State store of queries started from now on; processors with their own state need it."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

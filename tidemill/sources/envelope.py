@@ -157,11 +157,13 @@ def starts_at_timestamps(envelope: DataFrame, timestamps: Mapping[str, Mapping[i
 def from_starts(envelope: DataFrame, starts: DataFrame) -> DataFrame:
     """Records at or after the start offset of their partition.
 
-    ``starts`` has one row per topic partition, a few thousand at most on any
-    Kafka cluster; Spark picks the join by its size.
+    ``starts`` has one row per topic partition, which a Kafka cluster bounds to
+    some hundred thousand, so it is broadcast: the few and large partitions
+    would be hot join keys.
     """
+    one_each = starts.groupBy("topic", "partition").agg(F.min("start_offset").alias("start_offset"))
     return (
-        envelope.join(starts, ["topic", "partition"])
+        envelope.join(F.broadcast(one_each), ["topic", "partition"])
         .where(F.col("offset") >= F.col("start_offset"))
         .select(envelope.columns)
     )

@@ -35,6 +35,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return zoned(raw_table(spark, folder, name))
 
 
+def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The same table as a stream of its files; a table may be one file or a folder of files."""
+    schema = raw_table(spark, folder, name).schema
+    return zoned(spark.readStream.schema(schema).parquet(f"{folder}/{name}.parquet*"))
+
+
 def catalog_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 

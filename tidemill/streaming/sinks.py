@@ -88,6 +88,11 @@ def with_dead_letters(
     return run
 
 
+def with_row_count(df: DataFrame, name: str = "rows") -> DataFrame:
+    """Count the rows of each micro-batch on the way; read it from the progress' ``observedMetrics``."""
+    return df.observe(name, F.count(F.lit(1)).alias("count"))
+
+
 def stop_after(query: StreamingQuery, batches: int, timeout: float = 600.0) -> None:
     """Stop a query once it has finished that many batches, or when the time is over."""
     waited, step = 0.0, 0.2
