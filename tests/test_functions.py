@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill.functions import parse, predicates, sets, timefn, userfn
 from tidemill.schemas import CDC_PAYLOAD, EMPLOYEE, KAFKA_ENVELOPE_WITH_HEADERS, rows
@@ -89,6 +90,24 @@ def test_lines(spark):
     assert [tuple(r) for r in timed.collect()] == [(moment, "a"), (moment, "b")]
 
 
+def test_bad_lines_become_dead_letters(spark):
+    df = rows(spark, [("Jack , 12",), ("Bob, x",)], "value string")
+    good, bad = parse.split_lines(df, parse.person_line(F.col("value")), ["name", "age"])
+    assert [tuple(r) for r in good.collect()] == [("Jack", 12)]
+    assert bad.first().dead_letter == '{"orig_request":"Bob, x","failed_reason":"missing or invalid: age"}'
+
+
+def test_change_records(spark):
+    good = '{"oc":"U","ns":"n","pk":"{\\"_id\\":1}","va":"{\\"value\\":\\"v\\"}"}'
+    df = rows(spark, [(good,), ("junk",), (None,)], "value string").select(
+        F.col("value").cast("binary").alias("value"), F.lit(None).cast("timestamp").alias("timestamp"),
+        F.lit(0).alias("partition"), F.lit(1).alias("offset"))
+    records = parse.cdc_records(df)
+    assert [r.oc for r in records.collect()] == ["U", None, None]
+    found = parse.cdc_rows(records, "n", T._parse_datatype_string("_id int"), T._parse_datatype_string("value string")).collect()
+    assert [(r.oc, r._id, r.value) for r in found] == [("U", 1, "v")]
+
+
 @pytest.mark.parametrize("text, spaces, words", [
     ("a  b  ", ["a", "", "b"], ["a", "b"]), ("", [""], []), ("   ", [], []), (" a", ["", "a"], ["a"]),
     ("a\tb\n c", ["a\tb\n", "c"], ["a", "b", "c"]), (None, None, []),

@@ -69,7 +69,7 @@ def test_table_step(spark, tmp_path, before, events, output, after):
 def step_by_step(events, window, width):
     """The rule, one event at a time."""
     state, out = {}, {}
-    for key, when, tie, value in sorted(events):
+    for key, when, tie, value in sorted(events, key=lambda e: e[1:3]):
         held = state.setdefault(key, {})
         second = when // 1_000_000
         floor = (second - window) // width * width
@@ -90,6 +90,7 @@ def test_table_operator_against_rule(spark, window, width, hot_rows):
               for i in range(600)]
     # many events of one key in one bucket, some at the same instant
     events += [("hot", base + 7_200_000_000 + (i % 7), 1000 + i, 1) for i in range(200)]
+    events += [(None, base + i * 600_000_000, 2000 + i, 3) for i in range(30)]
     df = spark.createDataFrame(events, "id string, m bigint, tie bigint, value bigint").select(
         "id", F.timestamp_micros("m").alias("timestamp"), "value", "tie")
     got = sliding.sliding_running_sum(df, "id", "timestamp", "value", ["tie"], window, width, hot_rows=hot_rows)

@@ -156,6 +156,10 @@ def test_distinct_machine_equals_table(spark, tmp_path, data):
     sinks.each_batch(feed.stream(), job.process, str(tmp_path / "cp")).awaitTermination()
     got = {(r.metric, r.ts, r.tags): r.value for r in job.metrics.all().collect()}
     assert got == {(r.metric, r.ts, r.tags): r.value for r in want.collect()}
+    assert sorted(map(tuple, job.counts.read(0).collect())) == sorted(
+        (r.user_type, r.window_s, r.start_time, r.distinct_users)
+        for r in distinct.segment_distinct(
+            events.where(F.col("ts") < F.lit(edges[1]).cast("timestamp")), event_segments(), widths, "ts", "user_id").collect())
     last = job.metrics.batches()[-1]
     before = sorted(map(tuple, job.metrics.read(last).collect()))
     job.process(spark.read.schema(feed.schema).parquet(feed.folder).where(F.col("ts") >= F.lit("2024-01-25 10:30:00")), last)

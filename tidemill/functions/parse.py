@@ -32,10 +32,14 @@ def flatten(df: DataFrame, struct_col: str, *keep: str) -> DataFrame:
 
 
 def cdc_records(envelope: DataFrame) -> DataFrame:
-    """First stage of a change feed: ``oc, ns, pk, va`` and the record's position."""
+    """First stage of a change feed: ``oc, ns, pk, va`` and the record's position.
+
+    ``inline`` keeps a later filter above the parse; pushed below, it would
+    parse every record a second time.
+    """
     return envelope.select(
-        parse_json(F.col("value"), CDC_PAYLOAD).alias("change"), "timestamp", "partition", "offset"
-    ).select("change.*", "timestamp", "partition", "offset")
+        F.inline(F.array(parse_json(F.col("value"), CDC_PAYLOAD))), "timestamp", "partition", "offset"
+    )
 
 
 def cdc_rows(changes: DataFrame, namespace: str, key_schema: T.StructType, value_schema: T.StructType) -> DataFrame:
@@ -127,6 +131,19 @@ def dead_letter(orig_request: Column, failed_reason: Column) -> Column:
     return F.to_json(F.struct(orig_request.alias("orig_request"), failed_reason.alias("failed_reason")))
 
 
+def split_incomplete(df: DataFrame, text: str, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows with all required columns, and the others with a ``dead_letter`` made of their text."""
+    missing = F.filter(
+        F.array(*[F.when(F.col(name).isNull(), F.lit(name.split(".")[-1])) for name in required]),
+        lambda name: name.isNotNull(),
+    )
+    checked = df.withColumn("_missing", missing)
+    reason = F.concat(F.lit("missing or invalid: "), F.concat_ws(", ", "_missing"))
+    good = checked.where(F.size("_missing") == 0).drop("_missing")
+    bad = checked.where(F.size("_missing") > 0).withColumn("dead_letter", dead_letter(F.col(text), reason))
+    return good, bad.drop("_missing")
+
+
 def split_rejects(
     df: DataFrame, text: str, schema: T.StructType, required: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:
@@ -135,17 +152,16 @@ def split_rejects(
     A record is rejected when it is no JSON object or lacks a required field.
     """
     decoded = df.withColumn("record", parse_json(F.col(text), schema))
-    missing = F.filter(
-        F.array(*[F.when(F.col(f"record.{name}").isNull(), F.lit(name)) for name in required]),
-        lambda name: name.isNotNull(),
-    )
-    decoded = decoded.withColumn("_missing", missing)
-    good = decoded.where(F.size("_missing") == 0).drop("_missing")
-    bad = decoded.where(F.size("_missing") > 0).withColumn(
-        "dead_letter",
-        dead_letter(F.col(text), F.concat(F.lit("missing or invalid: "), F.concat_ws(", ", "_missing"))),
-    ).drop("_missing", "record")
-    return good, bad
+    good, bad = split_incomplete(decoded, text, [f"record.{name}" for name in required])
+    return good, bad.drop("record")
+
+
+def split_lines(
+    df: DataFrame, columns: Sequence[Column], required: Sequence[str], text: str = "value"
+) -> tuple[DataFrame, DataFrame]:
+    """Parse text lines, such as with :func:`person_line`; lines that lack a field become dead letters."""
+    good, bad = split_incomplete(df.select("*", *columns), text, required)
+    return good.drop(text), bad.select(text, "dead_letter")
 
 
 def checked_below(number: Column, limit: int = 10) -> Column:

@@ -20,25 +20,21 @@ def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) ->
     """Key groups of more than ``hot_rows`` rows as ``keys..., _splits``, None if there are none.
 
     The counts are combined map-side, so a hot key costs nothing here. A group
-    must also exceed a quarter of an even share of all rows; so at most four
-    groups per shuffle partition can be hot, which bounds what is brought to
-    the driver and broadcast later.
+    must also exceed a quarter of an even share of all rows, so fewer than four
+    groups per shuffle partition can be hot: that many of the largest counts are
+    brought to the driver and broadcast later, whatever the size of the data.
     """
-    parts = _parallelism(df)
+    most = 4 * _parallelism(df)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    total = df.count() if not counts.isEmpty() else 0
-    if total == 0:
+    largest = counts.orderBy(F.desc("_n")).limit(most).collect()
+    if not largest:
         return None
-    floor = max(hot_rows, total // (4 * parts))
-    hot = counts.where(F.col("_n") > floor).select(
-        *keys, F.least(F.ceil(F.col("_n") / floor), F.lit(4 * parts)).cast("int").alias("_splits")
-    ).collect()
+    share = max(hot_rows, df.count() // most)
+    hot = [(*row[:-1], min(most, -(-row["_n"] // share))) for row in largest if row["_n"] > share]
     if not hot:
         return None
-    fields = [f for f in df.select(*keys).schema.fields]
-    return df.sparkSession.createDataFrame(
-        [tuple(r) for r in hot], T.StructType([*fields, T.StructField("_splits", T.IntegerType())])
-    )
+    fields = [*counts.drop("_n").schema.fields, T.StructField("_splits", T.IntegerType())]
+    return df.sparkSession.createDataFrame(hot, T.StructType(fields))
 
 
 def _same(left: str, right: str, names: Sequence[str]) -> Column:

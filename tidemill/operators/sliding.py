@@ -96,6 +96,6 @@ def bootstrap_state(
     limit = F.lit(cutoff.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
     kept = history.where(F.col(ts) < limit)
     if window is not None:
-        oldest = time_bucket(F.timestamp_seconds(F.unix_timestamp(limit) - window), width)
-        kept = kept.where(time_bucket(F.col(ts), width) > oldest)
+        oldest = bucket_seconds(F.timestamp_seconds(F.unix_timestamp(limit) - window), width)
+        kept = kept.where(F.col(ts) >= F.timestamp_seconds(oldest + width))
     return bucket_sums(kept, key, ts, value, width)

@@ -48,10 +48,12 @@ class CdcMerge:
 class DistinctCounts:
     """Counts distinct users per segment and window over micro-batches.
 
-    State are the user rows of the open windows. Closed windows leave as metric
+    State are the user rows of the open windows. ``counts`` holds what each batch
+    knows of its windows, open ones included; closed windows leave as metric
     points; rows that come later for a closed window are dropped.
     """
 
+    _COUNTS = "user_type string, window_s int, start_time timestamp, distinct_users bigint"
     _METRICS = "metric string, ts timestamp, value double, tags string"
 
     def __init__(
@@ -60,6 +62,7 @@ class DistinctCounts:
     ):
         self.segments, self.widths, self.ts, self.user, self.prefix = segments, widths, ts, user, prefix
         self.state = BatchFolder(spark, f"{path}/state", distinct.USER_ROWS)
+        self.counts = BatchFolder(spark, f"{path}/counts", self._COUNTS)
         self.metrics = BatchFolder(spark, f"{path}/metrics", self._METRICS)
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
@@ -68,9 +71,10 @@ class DistinctCounts:
         on_time = distinct.drop_behind(new, distinct.latest_windows(kept))
         merged = distinct.merge_users(on_time, kept).persist()
         try:
-            latest = distinct.latest_windows(merged)
-            done = distinct.count_users(distinct.closed(merged, latest))
-            self.metrics.write(batch_id, distinct.metric_points(done, self.prefix))
+            self.counts.write(batch_id, distinct.count_users(merged))
+            counts = self.counts.read(batch_id)
+            latest = distinct.latest_windows(counts)
+            self.metrics.write(batch_id, distinct.metric_points(distinct.closed(counts, latest), self.prefix))
             self.state.write(batch_id, distinct.still_open(merged, latest).select("user_type", "window_s", "start_time", "user_id"))
         finally:
             merged.unpersist()
