@@ -155,6 +155,14 @@ def test_snapshot_rewrites_touched_buckets_only(spark, tmp_path):
     assert table.read(0).count() == 200
 
 
+def test_empty_change_set_and_changed_table_kept(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"), ["id"], buckets=4)
+    table.write(spark.range(10).withColumn("v", F.lit(1)))
+    none = spark.createDataFrame([], "id bigint, oc string, v int, seq int")
+    changes.apply_changes(table, none, ["seq"], batch_id=0)
+    assert table.latest_version() == 1 and table.read().count() == 10 and table.last_batch() == 0
+
+
 def test_batch_folder(spark, tmp_path):
     folder = BatchFolder(spark, str(tmp_path / "b"), "id bigint")
     assert folder.before(0).count() == 0 and folder.all().count() == 0

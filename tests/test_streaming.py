@@ -63,13 +63,14 @@ def test_running_count_equals_table(spark, tmp_path, data):
     assert last == {r[0]: r[1] for r in events.groupBy("event_type").count().collect()}
 
 
-def test_interval_join(spark, tmp_path):
+@pytest.mark.parametrize("splits", [1, 3])
+def test_interval_join(spark, tmp_path, splits):
     shown = FileFeed(spark, tmp_path / "i", "impression_time timestamp, impression_ad_id int, name string")
     clicked = FileFeed(spark, tmp_path / "c", "click_time timestamp, click_ad_id int, clicker string")
     shown.add([(at("07:07:02"), 12, "printer"), (at("06:27:02"), 12, "drink")])
     clicked.add([(at("07:32:02"), 12, "Jim"), (at("07:32:02"), 18, "Jim"), (at("06:32:02"), 12, "Jason")])
     clicked.add([(at("06:32:02"), 12, "John"), (at("08:02:02"), 12, "Jane")])
-    joined = flows.clicks_after_impressions(shown.stream(), clicked.stream()).select("name", "clicker")
+    joined = flows.clicks_after_impressions(shown.stream(), clicked.stream(), splits=splits).select("name", "clicker")
     rows = [r for b in run_all(joined, tmp_path) for r in b]
     assert sorted(rows) == [("drink", "Jason"), ("drink", "John"), ("printer", "Jane"), ("printer", "Jim")]
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: A group of fewer rows is left to a single task.
-HOT_ROWS = 2_000_000
+HOT_ROWS = 10_000_000
 
 
 def _parallelism(df: DataFrame) -> int:

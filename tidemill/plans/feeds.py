@@ -66,7 +66,7 @@ s AS (
 _MERGE = _CHANGES + """,
 t AS (
   SELECT o_orderkey, o_orderstatus AS status, CAST(round(o_totalprice * 100) AS BIGINT) AS cents
-  FROM orders WHERE o_orderkey % 3 <> 0
+  FROM orders WHERE o_orderstatus <> 'P'
 )
 SELECT coalesce(t.o_orderkey, s.o_orderkey) AS o_orderkey,
        CASE WHEN t.o_orderkey IS NULL OR s.oc = 'U' THEN s.status ELSE t.status END AS status,
@@ -349,7 +349,8 @@ SELECT event_id, try_cast(json_extract_string(v, '$.emp_id') AS INTEGER) AS emp_
        coalesce(json_extract_string(v, '$.last_name'), 'n/a') AS last_name FROM j"""),
     "json_reject_split": (json_reject_split, f"""
 WITH r AS ({_EMPLOYEE_SQL}),
-j AS (SELECT *, CASE WHEN json_valid(value) THEN try_cast(json_extract_string(value, '$.emp_id') AS INTEGER) END AS emp_id FROM r)
+j AS (SELECT *, CASE WHEN json_valid(value)
+        THEN try_cast(json_extract_string(value, '$.emp_id') AS INTEGER) END AS emp_id FROM r)
 SELECT event_id, emp_id, CASE WHEN emp_id IS NULL THEN
   CAST(json_object('orig_request', value, 'failed_reason', 'missing or invalid: emp_id') AS VARCHAR) END AS dead_letter FROM j"""),
     "line_records": (line_records, """

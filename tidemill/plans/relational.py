@@ -55,12 +55,14 @@ def stream_static_left(spark, folder):
 
 def interval_join(spark, folder):
     rows = events(spark, folder)
-    shown = rows.where(F.col("event_type") == "view").select(
-        F.col("event_id").alias("impression_id"), F.col("user_id").alias("impression_ad_id"), F.col("ts").alias("impression_time")
-    )
-    clicked = rows.where(F.col("event_type") == "click").select(
-        F.col("event_id").alias("click_id"), F.col("user_id").alias("click_ad_id"), F.col("ts").alias("click_time")
-    )
+    def side(kind, prefix):
+        return rows.where(F.col("event_type") == kind).select(
+            F.col("event_id").alias(f"{prefix}_id"),
+            F.col("user_id").alias(f"{prefix}_ad_id"),
+            F.col("ts").alias(f"{prefix}_time"),
+        )
+
+    shown, clicked = side("view", "impression"), side("click", "click")
     return zoneless(joins.within_interval(
         shown, clicked, "impression_ad_id", "click_ad_id", "impression_time", "click_time", 3600,
         ["impression_id"], ["click_id"],
@@ -76,7 +78,8 @@ def set_state_merge(spark, folder):
         return half.groupBy("user_id").agg(F.collect_set("event_type").alias("types"))
 
     middle = F.lit("2024-01-16").cast("timestamp")
-    merged = joins.merge_sets(types(rows.where(F.col("ts") >= middle)), types(rows.where(F.col("ts") < middle)), ["user_id"], "types")
+    new, kept = types(rows.where(F.col("ts") >= middle)), types(rows.where(F.col("ts") < middle))
+    merged = joins.merge_sets(new, kept, ["user_id"], "types")
     return merged.select("user_id", F.array_join(F.array_sort("types"), ",").alias("types"), F.size("types").alias("n"))
 
 
@@ -278,6 +281,22 @@ def kmeans_hex_ranges(spark, folder):
     return cluster.hex_id_ranges(table(spark, folder, "events").select(hex_id.alias("id")), "id", k=10)
 
 
+def kmeans_ranges_ok(spark, folder):
+    """Per clustering: rows covered, number of clusters, and whether the ranges are disjoint."""
+    def check(name, ranges, low, high):
+        # One entry per cluster.
+        ordered = F.array_sort(F.collect_list(F.struct(F.col(low).alias("low"), F.col(high).alias("high"))))
+        summary = ranges.agg(ordered.alias("r"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("clusters"))
+        following = F.slice("r", 2, F.size("r"))
+        pairs = F.zip_with(F.slice("r", 1, F.size("r") - 1), following, lambda a, b: a["high"] < b["low"])
+        return summary.select(F.lit(name).alias("name"), "n", "clusters", F.forall(pairs, lambda ok: ok).alias("disjoint"))
+
+    numbers = check("numbers", kmeans_ranges(spark, folder), "range_min", "range_max")
+    times = check("times", kmeans_time_ranges(spark, folder), "left_bound", "right_bound")
+    ids = check("ids", kmeans_hex_ranges(spark, folder), "left_hex", "right_hex")
+    return numbers.unionByName(times).unionByName(ids)
+
+
 # -- paths ---------------------------------------------------------------------------
 
 
@@ -395,6 +414,9 @@ UNION ALL SELECT 2, p_partkey, p_name, p_size FROM part WHERE p_partkey % 2 <> 0
     "kmeans_ranges": (kmeans_ranges, None),
     "kmeans_time_ranges": (kmeans_time_ranges, None),
     "kmeans_hex_ranges": (kmeans_hex_ranges, None),
+    "kmeans_ranges_ok": (kmeans_ranges_ok, """
+SELECT 'numbers' AS name, count(*) AS n, CAST(3 AS BIGINT) AS clusters, true AS disjoint FROM orders
+UNION ALL SELECT 'times', count(*), 3, true FROM events UNION ALL SELECT 'ids', count(*), 10, true FROM events"""),
     "path_groups": (path_groups, _PREFIXES + "SELECT p.path, g.prefix FROM p LEFT JOIN g ON p.path = g.path"),
     "path_group_sizes": (path_group_sizes, _PREFIXES + """
 SELECT prefix, count(*) AS n_files, min(path) AS first_path FROM g GROUP BY prefix"""),

@@ -77,13 +77,16 @@ def stream_latest_per_sliding(spark, folder):
 
 def stream_avg_per_sliding(spark, folder):
     """Append mode: only windows the watermark has passed."""
-    average = flows.window_average(_event_stream(spark, folder), "event_type", "ts", "cents", "1 hour", "30 minutes", "1 hour")
+    average = flows.window_average(
+        _event_stream(spark, folder), "event_type", "ts", "cents", "1 hour", "30 minutes", "1 hour"
+    )
     return zoneless(_emitted(_starts(average)).withColumn("average", F.round("average", 6)))
 
 
 def stream_users_per_window(spark, folder):
     """Append mode: only windows the watermark has passed."""
-    return zoneless(_emitted(_starts(flows.users_per_window(_event_stream(spark, folder), "ts", "user_id", "1 hour", "1 hour"))))
+    users = flows.users_per_window(_event_stream(spark, folder), "ts", "user_id", "1 hour", "1 hour")
+    return zoneless(_emitted(_starts(users)))
 
 
 def stream_dedup(spark, folder):
@@ -98,12 +101,14 @@ def stream_static_join(spark, folder):
 
 
 def stream_interval_join(spark, folder):
-    def side(kind, name, prefix):
+    def side(kind, prefix):
         return _event_stream(spark, folder).where(F.col("event_type") == kind).select(
-            F.col("event_id").alias(f"{prefix}_id"), F.col("user_id").alias(f"{prefix}_ad_id"), F.col("ts").alias(f"{prefix}_time")
+            F.col("event_id").alias(f"{prefix}_id"),
+            F.col("user_id").alias(f"{prefix}_ad_id"),
+            F.col("ts").alias(f"{prefix}_time"),
         )
 
-    joined = flows.clicks_after_impressions(side("view", "shown", "impression"), side("click", "clicked", "click"))
+    joined = flows.clicks_after_impressions(side("view", "impression"), side("click", "click"))
     return zoneless(_emitted(joined))
 
 
@@ -204,7 +209,8 @@ _LATEST = """
 SELECT user_id, arg_max(CAST(round(value * 100) AS BIGINT), (ts, event_id)) AS cents FROM events GROUP BY 1"""
 
 QUERIES = {
-    "stream_word_count": (stream_word_count, relational.QUERIES["word_count_space"][1].replace("SELECT word,", "SELECT word AS value,", 1)),
+    "stream_word_count": (stream_word_count, f"""
+SELECT word AS value, count FROM ({relational.QUERIES["word_count_space"][1]})"""),
     "stream_counts_by_type": (stream_counts_by_type, relational.QUERIES["counts_by_type"][1]),
     "stream_window_count": (stream_window_count, timed.QUERIES["sliding_window_count"][1]),
     "stream_latest_per_sliding": (stream_latest_per_sliding, timed.QUERIES["latest_per_sliding"][1]),

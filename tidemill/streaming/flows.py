@@ -76,22 +76,28 @@ def first_seen_within(df: DataFrame, keys: list[str], ts: str, delay: str) -> Da
 
 def clicks_after_impressions(
     impressions: DataFrame, clicks: DataFrame,
-    impression_delay: str = "2 hours", click_delay: str = "3 hours", within: str = "1 hour",
+    impression_delay: str = "2 hours", click_delay: str = "3 hours", within: str = "1 hour", splits: int = 1,
 ) -> DataFrame:
     """Clicks on an ad up to ``within`` after its impression, both ends included; append mode.
 
     Expects ``impression_time, impression_ad_id`` and ``click_time, click_ad_id``.
     The two watermarks and the interval tell Spark when a row can be forgotten.
+    A stream cannot re-plan a hot ad: ``splits`` spreads each ad's impressions over
+    that many state partitions and shows every click to all of them.
     """
     shown = impressions.withWatermark("impression_time", impression_delay)
     clicked = clicks.withWatermark("click_time", click_delay)
-    return shown.join(
-        clicked,
-        F.expr(
-            f"click_ad_id = impression_ad_id AND click_time >= impression_time "
-            f"AND click_time <= impression_time + INTERVAL {within}"
-        ),
+    condition = (
+        f"click_ad_id = impression_ad_id AND click_time >= impression_time "
+        f"AND click_time <= impression_time + INTERVAL {within}"
     )
+    if splits == 1:
+        return shown.join(clicked, F.expr(condition))
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in shown.columns]), F.lit(splits)).cast("int")
+    shown = shown.withColumn("_impression_part", part)
+    clicked = clicked.withColumn("_click_part", F.explode(F.sequence(F.lit(0), F.lit(splits - 1))))
+    joined = shown.join(clicked, F.expr(f"_click_part = _impression_part AND {condition}"))
+    return joined.drop("_impression_part", "_click_part")
 
 
 def users_per_window(df: DataFrame, ts: str, user: str, width: str = "10 seconds", delay: str = "10 seconds") -> DataFrame:

@@ -75,7 +75,8 @@ class DistinctCounts:
             counts = self.counts.read(batch_id)
             latest = distinct.latest_windows(counts)
             self.metrics.write(batch_id, distinct.metric_points(distinct.closed(counts, latest), self.prefix))
-            self.state.write(batch_id, distinct.still_open(merged, latest).select("user_type", "window_s", "start_time", "user_id"))
+            kept_users = distinct.still_open(merged, latest).select(*distinct.WINDOW, "user_id")
+            self.state.write(batch_id, kept_users)
         finally:
             merged.unpersist()
 
@@ -94,7 +95,8 @@ class LatestMap:
         key = self.table.keys[0]
         batch.persist()
         try:
-            updates = newest_per_key(batch.select(key, self.value, *self.order), [key], self.order).select(key, self.value)
+            rows = batch.select(key, self.value, *self.order)
+            updates = newest_per_key(rows, [key], self.order).select(key, self.value)
             if self.table.latest_version() is None:
                 self.table.write(updates, batch_id)
                 return
