@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import math
 import random
 from bisect import bisect_right
 
@@ -220,6 +221,29 @@ def test_exact_quantiles(spark, seed):
     assert sketch.quantiles_exact(df.where("false"), "v", probs).count() == 0
 
 
+@pytest.mark.parametrize("shape", ["unique", "hot", "dates"])
+def test_exact_quantiles_inside_brackets(spark, shape):
+    """Enough rows for brackets that leave most rows out; a third of the rows may be equal."""
+    n = 30000
+    value = {
+        "unique": (F.col("id") * 7919 % n).cast("double"),
+        "hot": F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id") % 1000),
+        "dates": F.date_add(F.lit("2000-01-01").cast("date"), (F.col("id") * 31 % n).cast("int")),
+    }[shape]
+    df = spark.range(n).select(value.alias("v"))
+    ordered_values = sorted(r.v for r in df.collect())
+    probs = [0.0, 0.001, 0.25, 0.251, 0.5, 0.9, 1.0]
+    found = {r.probability: r.value for r in sketch.quantiles_exact(df, "v", probs).collect()}
+    assert found == {p: ordered_values[max(1, math.ceil(p * n - 1e-9)) - 1] for p in probs}
+
+
+def test_exact_quantiles_without_brackets(spark, monkeypatch):
+    """Brackets that miss the quantile lead to the full sort."""
+    monkeypatch.setattr(sketch, "_disjoint", lambda brackets: [(-2, -1)])
+    df = spark.range(1000)
+    assert {r.probability: r.value for r in sketch.quantiles_exact(df, "id", [0.25, 1.0]).collect()} == {0.25: 249, 1.0: 999}
+
+
 @pytest.mark.parametrize("error", [0.05, 0.1])
 def test_approx_quantiles(spark, error):
     n = 20000

@@ -90,13 +90,15 @@ def apply_changes(
 ) -> int:
     """Merge the newest change per key into a versioned table, rewriting only the buckets they touch.
 
-    ``changes`` is read twice, once for the bucket numbers: pass a persisted micro-batch.
     A batch id seen before changes nothing.
     """
     done = table.last_batch() if batch_id is not None else None
     if done is not None and batch_id <= done:
         return table.latest_version()
-    newest = newest_per_key(changes, table.keys, order)
-    touched = table.touched_buckets(changes)
-    current = table.read(buckets=touched)
-    return table.write(merge_changes(current, newest, table.keys, op), batch_id, only_buckets=touched)
+    newest = newest_per_key(changes, table.keys, order).persist()  # used for the bucket numbers and the merge
+    try:
+        touched = table.touched_buckets(newest)
+        merged = merge_changes(table.read(buckets=touched), newest, table.keys, op)
+        return table.write(merged, batch_id, only_buckets=touched)
+    finally:
+        newest.unpersist()

@@ -40,34 +40,86 @@ def quantiles_approx(df: DataFrame, column: str, probabilities: Sequence[float],
     return values.select(F.explode(pairs).alias("q")).select("q.probability", "q.value")
 
 
+_BRACKET_ACCURACY = 1000  # a sketched quantile is at most 1 / 1000 of all ranks off
+
+
 def quantiles_exact(df: DataFrame, column: str, probabilities: Sequence[float]) -> DataFrame:
     """The value at rank ``ceil(p * n)`` for each probability, at any size.
 
-    Values are counted map-side, the distinct ones sorted by range
-    partitioning, and ranks found from the partition totals; neither the rows
-    nor a full summary reach the driver.
+    A sketch brackets each quantile between two values; only the rows between
+    them, some thousandths of all, are counted and sorted by range
+    partitioning. The brackets are checked by counts, and if one should fail
+    all rows are sorted instead. Neither rows nor a full summary reach the driver.
     """
-    spark = df.sparkSession
-    parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    placed = cut(counts.repartitionByRange(parts, "value").withColumn("part", F.spark_partition_id()))
-    totals = sorted(placed.groupBy("part").agg(F.sum("n")).collect())  # one row per partition
-    total = sum(n for _, n in totals)
     probs = [float(p) for p in probabilities]
-    wanted = []  # (part, rank inside the part, probability)
-    for p in probs:
-        rank = max(1, math.ceil(p * total - 1e-9))
-        for part, n in totals:
-            if rank <= n:
-                wanted.append((part, rank, p))
-                break
-            rank -= n
-    targets = spark.createDataFrame(wanted, "part int, rank bigint, probability double")
-    up_to = Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hit_parts = [part for part, _, _ in wanted]
+    values = df.where(F.col(column).isNotNull()).select(F.col(column).alias("value"))
+    slack = 2 / _BRACKET_ACCURACY
+    edges = [min(1.0, max(0.0, edge)) for p in probs for edge in (p - slack, p + slack)]
+    total, found = values.agg(
+        F.count(F.lit(1)), F.percentile_approx("value", edges, _BRACKET_ACCURACY)
+    ).first()
+    if not total:
+        return _at_ranks(values, [])
+    ranks = {p: max(1, math.ceil(p * total - 1e-9)) for p in probs}
+    intervals = _disjoint(sorted(zip(found[::2], found[1::2])))
+    sizes = values.agg(*[
+        count
+        for low, high in intervals
+        for count in (F.count_if(F.col("value") < low), F.count_if(F.col("value").between(low, high)))
+    ]).first()
+    targets, covered = [], set()
+    for number, (below, size) in enumerate(zip(sizes[::2], sizes[1::2])):
+        for p in probs:
+            if below < ranks[p] <= below + size and p not in covered:
+                covered.add(p)
+                targets.append((number, ranks[p] - below, p))
+    if len(covered) < len(set(probs)):
+        return _at_ranks(values.withColumn("interval", F.lit(0)), [(0, ranks[p], p) for p in probs])
+    number = F.coalesce(*[F.when(F.col("value").between(low, high), i) for i, (low, high) in enumerate(intervals)])
+    inside = values.withColumn("interval", number).where(F.col("interval").isNotNull())
+    return _at_ranks(inside, targets)
+
+
+def _disjoint(brackets: list[tuple]) -> list[tuple]:
+    """Sorted brackets with overlapping ones merged."""
+    merged = []
+    for low, high in brackets:
+        if merged and low <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
+        else:
+            merged.append((low, high))
+    return merged
+
+
+def _at_ranks(values: DataFrame, targets: list[tuple[int, int, float]]) -> DataFrame:
+    """Values at ranks inside intervals: ``targets`` are (interval, rank, probability).
+
+    Equal values are counted map-side first, so a value that fills a third of the rows is one row here.
+    """
+    if not targets:
+        return values.select(F.lit(0.0).alias("probability"), "value").limit(0)
+    spark = values.sparkSession
+    parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    counts = values.groupBy("interval", "value").agg(F.count(F.lit(1)).alias("n"))
+    placed = cut(counts.repartitionByRange(parts, "interval", "value").withColumn("part", F.spark_partition_id()))
+    # One row per partition and interval.
+    totals = sorted(placed.groupBy("interval", "part").agg(F.sum("n")).collect())
+    wanted = []
+    for interval, rank, p in targets:
+        for at, part, n in totals:
+            if at == interval:
+                if rank <= n:
+                    wanted.append((interval, part, rank, p))
+                    break
+                rank -= n
+    goals = spark.createDataFrame(wanted, "interval int, part int, rank bigint, probability double")
+    up_to = Window.partitionBy("interval", "part").orderBy("value").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    hit_parts = sorted({part for _, part, _, _ in wanted})
     ranked = placed.where(F.col("part").isin(hit_parts)).withColumn("upto", F.sum("n").over(up_to))
     hit = (F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("n"))
-    return ranked.join(F.broadcast(targets), "part").where(hit).select("probability", "value")
+    return ranked.join(F.broadcast(goals), ["interval", "part"]).where(hit).select("probability", "value")
 
 
 def kll_sketches(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
