@@ -153,3 +153,17 @@ def test_stream_drops_late_rows(spark, tmp_path):
     run.feed(feed, [("1", at("00:59:59"), 7, 1)])
     run.feed(feed, [("1", at("01:00:01"), 1, 2)])
     assert [s for _, _, s in run.stop()] == [5, 6]
+
+
+def test_idle_key_loses_its_state(spark, tmp_path):
+    feed = FileFeed(spark, tmp_path / "in", SCHEMA)
+    run = LiveRun(sliding_sum_stream(feed.stream(), 3600, 1800), tmp_path, "update")
+    run.feed(feed, [("a", at("00:00:00"), 5, 0), ("b", at("00:00:00"), 1, 1)])
+    run.feed(feed, [("b", at("00:40:00"), 2, 2)])
+    run.feed(feed, [("b", at("03:00:00"), 3, 3)])
+    run.feed(feed, [("b", at("03:10:00"), 4, 4), ("a", at("03:20:00"), 6, 5)])
+    states = [op["customMetrics"] for p in run.query.recentProgress for op in p["stateOperators"]]
+    rows = run.stop()
+    assert sorted(rows[:4]) == [("a", at("00:00:00"), 5), ("b", at("00:00:00"), 1), ("b", at("00:40:00"), 3), ("b", at("03:00:00"), 3)]
+    assert sorted(rows[4:]) == [("a", at("03:20:00"), 6), ("b", at("03:10:00"), 7)]
+    assert sum(m.get("numExpiredTimers", 0) for m in states) >= 2

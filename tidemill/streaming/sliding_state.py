@@ -55,31 +55,42 @@ def sums_after(
 
 
 class _SlidingSum(StatefulProcessor):
-    """State per key: bucket starts and sums, at most window / width + 1 of them when events come in order."""
+    """State per key: bucket starts and sums, at most window / width + 1 of them when events come in order.
+
+    One timer per key ends the state: any event later than the last one by the
+    window would drop all buckets anyway. It is set once and, when it fires
+    after newer events came, set again, so a busy key does not renew it per batch.
+    """
 
     def __init__(self, window: int, width: int):
         self.window, self.width = window, width
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._buckets = handle.getValueState("buckets", "starts array<bigint>, sums array<bigint>")
+        self._state = handle.getValueState("buckets", "starts array<bigint>, sums array<bigint>, last_s bigint")
+
+    def _load(self) -> tuple[np.ndarray, np.ndarray, int | None]:
+        starts, sums, last = self._state.get() if self._state.exists() else ([], [], None)
+        return np.asarray(starts, dtype=np.int64), np.asarray(sums, dtype=np.int64), last
 
-    def _load(self) -> tuple[np.ndarray, np.ndarray]:
-        if not self._buckets.exists():
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        starts, sums = self._buckets.get()
-        return np.asarray(starts, dtype=np.int64), np.asarray(sums, dtype=np.int64)
+    def _end_millis(self, last: int) -> int:
+        return (last + 1 + self.window) * 1000
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         events = pd.concat(list(rows), ignore_index=True).sort_values(["micros", "tie"], kind="stable")
         if not len(events):
             return
+        starts, sums, last = self._load()
         micros = events["micros"].to_numpy(np.int64)
         running, starts, sums = sums_after(
-            *self._load(), micros, events["value"].to_numpy(np.int64), self.window, self.width
+            starts, sums, micros, events["value"].to_numpy(np.int64), self.window, self.width
         )
-        self._buckets.update((starts.tolist(), sums.tolist()))
-        self._renew_timer(int(micros[-1] // 1000) + self.window * 1000)
+        newest = int(micros[-1] // _MICROS)
+        if last is None:
+            self._handle.registerTimer(self._end_millis(newest))
+        else:
+            newest = max(newest, last)
+        self._state.update((starts.tolist(), sums.tolist(), newest))
         yield pd.DataFrame({
             "id": key[0], "timestamp": pd.to_datetime(micros, unit="us"), "running_sum": running
         })
@@ -87,23 +98,17 @@ class _SlidingSum(StatefulProcessor):
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
         first = initialState.sort_values("bucket_s")
         starts = first["bucket_s"].to_numpy(np.int64)
-        self._buckets.update((starts.tolist(), first["bucket_sum"].to_numpy(np.int64).tolist()))
-        self._renew_timer((int(starts[-1]) + self.width + self.window) * 1000)
-
-    def _renew_timer(self, at: int) -> None:
-        """Any event after this time would drop all buckets anyway."""
-        for old in list(self._handle.listTimers()):
-            if old >= at:
-                return
-            self._handle.deleteTimer(old)
-        self._handle.registerTimer(at)
+        last = int(starts[-1]) + self.width
+        self._state.update((starts.tolist(), first["bucket_sum"].to_numpy(np.int64).tolist(), last))
+        self._handle.registerTimer(self._end_millis(last))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self._buckets.clear()
-        yield pd.DataFrame({
-            "id": pd.Series(dtype=str), "timestamp": pd.Series(dtype="datetime64[us]"),
-            "running_sum": pd.Series(dtype="int64"),
-        })
+        end = self._end_millis(self._load()[2])
+        if end > expiredTimerInfo.getExpiryTimeInMs():
+            self._handle.registerTimer(end)
+        else:
+            self._state.clear()
+        return iter(())
 
     def close(self) -> None:
         pass
