@@ -318,3 +318,14 @@ def test_observed_row_counts(spark, tmp_path):
              .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start())
     query.awaitTermination()
     assert query.recentProgress[0]["observedMetrics"]["seen"][0] == 2
+
+
+def test_progress_records_of_a_query(spark):
+    class Query:
+        recentProgress = [{
+            "name": "q", "batchId": 3, "numInputRows": 2, "durationMs": {"latestOffset": 1},
+            "sources": [{"startOffset": {"t": {"0": 1}}, "endOffset": {"t": {"0": 3}}, "numInputRows": 2}],
+        }]
+
+    row = sinks.progress_of(spark, Query()).first()
+    assert (row.query, row.batch_id, row.topic, row.partition, row.start_offset, row.end_offset) == ("q", 3, "t", 0, 1, 3)
