@@ -3,10 +3,55 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemill.llm import language, mixing, secrets
 from tidemill.llm.frames import documents, stored
+from tidemill.llm.near_dedup import near_duplicates
+from tidemill.llm.pieces import encode_documents
+from tidemill.llm.queries import piece_model
 
-STAGES: list = []
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the language models of these documents don't reject."""
+    model = language.learn(docs)
+    return language.identify(docs, model).where(~F.col("rejected")).select(*docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: five-word shingles, similarity 0.8 or more."""
+    kept = near_duplicates(docs, 5, 80).where("kept").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(*docs.columns)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets replaced by a mark and n_chars counted again where there was one."""
+    found = secrets.find_secrets(docs, name="_secrets")
+    text = secrets.redacted(F.col("text"), F.col("_secrets"))
+    hit = F.size("_secrets") > 0
+    changed = {"text": F.when(hit, text).otherwise(F.col("text"))}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(hit, F.length(text).cast("bigint")).otherwise(F.col("n_chars"))
+    return found.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns])
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn so that the tokens of sources, languages and topics meet their target weights."""
+    return mixing.mixed(docs).where("_kept").select(*docs.columns)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, source, lang, n_tokens, ids``: the piece ids of every document, the end id last."""
+    return encode_documents(docs, piece_model()).select("doc_id", "source", "lang", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
+
+
+STAGES = [
+    ("language", known_language),
+    ("near_duplicates", one_of_each_group),
+    ("secrets", without_secrets),
+    ("mix", mixed_sources),
+    ("encode", encoded),
+]
 
 #: Language models and near-duplicate trees have no SQL form.
 ORACLE_SQL = None
