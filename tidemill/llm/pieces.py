@@ -25,7 +25,9 @@ from tidemill.llm.frames import text_or_empty
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Texts are handed on after this many characters, and merged units forgotten after this many.
-BATCH_CHARS, KNOWN_UNITS = 4_000_000, 1_000_000
+BATCH_CHARS, KNOWN_UNITS = 1_500_000, 300_000
+#: Ids decoded at a time (a longer list by itself).
+BATCH_IDS = 400_000
 #: Units over this length are merged one by one.
 SHORT_UNIT, FAR = 48, 1 << 40
 
@@ -128,7 +130,7 @@ class PieceModel:
         self.shown_offsets = np.cumsum([0] + [len(r) for r in raw])
         self.units = self._unit_pattern().findall
         self.forget()
-        self._tabulate()
+        self.pair_keys: np.ndarray | None = None
 
     def _unit_pattern(self) -> re.Pattern:
         """Blanks and what follows them, cut wherever no piece has the two characters side by side.
@@ -187,6 +189,8 @@ class PieceModel:
     def learn(self, units: list[str]) -> None:
         """Merge new units and remember their ids. All units of one batch take their next merge together: the best
         score, the leftmost among equals."""
+        if self.pair_keys is None:
+            self._tabulate()
         long = [u for u in units if len(u) > SHORT_UNIT]
         short = sorted((u for u in units if len(u) <= SHORT_UNIT), key=len)
         found = [self._learn_short(short[lo : lo + 20_000]) for lo in range(0, len(short), 20_000)]
@@ -209,7 +213,7 @@ class PieceModel:
         filled = np.arange(width) < sizes[:, None]
         points = np.zeros((n, width), np.int64)
         points[filled] = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
-        symbols = np.where(filled, self.symbol_of_char[points], -1)
+        symbols = np.where(filled, self.symbol_of_char[points], -1).astype(np.int64)
         symbols = np.where(symbols == vocab, vocab + points, symbols)
         rows, done = np.arange(n), []
         costs, _ = self._pairs(symbols[:, :-1], symbols[:, 1:])
@@ -257,7 +261,7 @@ class PieceModel:
 
     def _tabulate(self) -> None:
         """All pairs of symbols that merge, and the symbol of every character (those of no piece share one mark)."""
-        self.symbol_of_char = np.full(0x110000, len(self.pieces), np.int64)
+        self.symbol_of_char = np.full(0x110000, len(self.pieces), np.int32)
         for piece, i in self.id_of.items():
             if len(piece) == 1:
                 self.symbol_of_char[ord(piece)] = i
@@ -429,9 +433,13 @@ def decode_documents(encoded: DataFrame, model_blob: bytes, ids: str = "ids", na
         for batch in batches:
             lists = batch.column(ids)
             counts = lists.value_lengths().fill_null(0).to_numpy()
-            data, bounds = model.decode(lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(counts)]))
-            texts = pa.LargeStringArray.from_buffers(len(counts), pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in rest], texts.cast(pa.string())], names=[*rest, name])
+            flat, ends = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(counts)])
+            cuts = (np.flatnonzero(np.diff(ends[1:] // BATCH_IDS)) + 1).tolist()
+            for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows]):
+                data, bounds = model.decode(flat[ends[lo] : ends[hi]], ends[lo : hi + 1] - ends[lo])
+                texts = pa.LargeStringArray.from_buffers(hi - lo, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data))
+                part = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in rest], texts.cast(pa.string())], names=[*rest, name])
 
     schema = encoded.select(*[F.col(f"`{c}`") for c in rest]).schema
     return encoded.select(*[F.col(f"`{c}`") for c in rest]).mapInArrow(work, schema.add(name, "string"))
