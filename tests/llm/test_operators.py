@@ -1,0 +1,330 @@
+"""The document operators against brute force, the piece library and held-out labels, with awkward rows."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+
+from tidemill.llm import language, maxscore, mixing, pieces, secrets, shards
+from tidemill.llm.components import components
+from tidemill.llm.merkle import Tree, edited_places, fingerprints
+from tidemill.llm.near_dedup import near_duplicates
+from tidemill.llm.passages import repeated_passages
+from tidemill.llm.queries import piece_model
+from tidemill.llm.suffix_dedup import repeated_substrings
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+#: Columns that clash with names used inside the operators.
+CLASH = {"doc": "x", "tie": 1, "node": 2, "ids": "i", "key": "k", "seed": 0, "n": 9, "_key": 3}
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, l, s, None) for i, t, l, s in rows], SCHEMA)
+
+
+def odd_rows():
+    long = " ".join(f"w{i % 977}x{i // 977}" for i in range(30_000))
+    return [
+        (1, None, None, None), (2, "", "en", "a"), (3, " \n\t", None, "a"), (4, "one", "en", None), (5, long, "en", "a"),
+        (6, long, "en", "a"), (6, long, "en", "a"), (7, "é" * 300, "fr", "b"), (None, "the text without an id " * 9, "en", "b"),
+        (8, "\x00 ▁ 😀 �", "de", "b"),
+    ]
+
+
+@pytest.fixture(scope="module")
+def docs(spark, data):
+    return spark.read.parquet(f"{data}/documents.parquet")
+
+
+def collected(df, *names):
+    return sorted((tuple(r[n] for n in names) for r in df.collect()), key=repr)
+
+
+OPERATORS = {
+    "substrings": lambda d: repeated_substrings(d, 100),
+    "encode": lambda d: pieces.encode_documents(d, piece_model(), spans=True),
+    "decode": lambda d: pieces.decode_documents(pieces.encode_documents(d.drop("ids"), piece_model()), piece_model()),
+    "language": lambda d: language.identify(d, language.learn(d)),
+    "shards": lambda d: shards.shard_documents(d, 24),
+    "merkle": fingerprints,
+    "near": near_duplicates,
+    "secrets": secrets.find_secrets,
+    "passages": repeated_passages,
+    "mix": mixing.mixed,
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_odd_rows_empty_tables_and_clashing_columns(spark, name):
+    rows = frame(spark, odd_rows())
+    assert OPERATORS[name](rows).count() == len(odd_rows())
+    assert OPERATORS[name](rows.withColumns({c: F.lit(v) for c, v in CLASH.items()})).count() == len(odd_rows())
+    assert OPERATORS[name](rows.where("false")).count() == 0
+
+
+def substrings_by_force(rows, length):
+    seen, found = {}, {}
+    for doc, text in sorted(rows):
+        raw = (text or "").encode()
+        gone = bytearray(len(raw))
+        for i in range(len(raw) - length + 1):
+            if raw[i : i + length] in seen:
+                gone[i : i + length] = b"\1" * length
+            else:
+                seen[raw[i : i + length]] = doc
+        kept = bytes(b for b, g in zip(raw, gone) if not g)
+        spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
+        found[doc] = (len(raw), sum(gone), spans, hashlib.sha256(kept).hexdigest())
+    return found
+
+
+@pytest.mark.parametrize("length, hot", [(8, 5), (33, 20_000), (100, 5), (300, 20_000)])
+def test_repeated_substrings(spark, length, hot):
+    rng = random.Random(length)
+    rows = [(i, rng.choice(["aaaa", "ab", "xyz", "q "]) * rng.randint(0, 60) + rng.choice(["é", "z", ""]) * rng.randint(0, 40)) for i in range(120)]
+    got = repeated_substrings(spark.createDataFrame(rows, "doc_id long, text string"), length, hot)
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got.collect()} == substrings_by_force(rows, length)
+
+
+def test_repeated_substrings_of_the_table(docs):
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeated_substrings(docs).collect()}
+    assert got == substrings_by_force(rows, 100)
+
+
+def test_pieces_equal_the_library():
+    model, library = pieces.PieceModel(piece_model()), sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    rng = random.Random(3)
+    bits = ["a", " ", "  ", "\n", "the", "▁", "▁▁", "é", "😀", "\x00", "\t", "<s>", "<0x41>", "日本", "�", "1", ".", "...", "(", "ing"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 14))) for _ in range(3000)] + ["ab" * 3000, ""]
+    for text, (ids, begin, end) in zip(texts, model.encode(texts, spans=True)):
+        assert ids.tolist() == library.encode(text)
+        raw = text.encode()
+        for i, b, e in zip(ids.tolist()[1:], begin.tolist()[1:], end.tolist()[1:]):
+            if not model.is_byte[i]:
+                assert raw[b:e].decode().replace(" ", "▁") == model.pieces[i]
+        data, bounds = model.decode(ids, np.array([0, len(ids)]))
+        assert data.tobytes().decode() == library.decode(ids.tolist())
+
+
+def test_character_map_takes_the_longest_prefix():
+    # A double array over "a" -> "x" and "ab" -> "yz", by hand: value cells carry the sign bit, label cells the byte.
+    cells = [0] * 512
+    offset = lambda n: n << 10
+    cells[0] = offset(256)
+    a = 256 ^ ord("a")
+    cells[a] = offset(a ^ 300) | 1 << 8 | ord("a")
+    cells[300] = 0x80000000
+    b = 300 ^ ord("b")
+    cells[b] = offset(b ^ 400) | 1 << 8 | ord("b")
+    cells[400] = 0x80000000 | 2
+    blob = (4 * len(cells)).to_bytes(4, "little") + np.array(cells, "<u4").tobytes() + b"x\0yz\0"
+    table = pieces.CharacterMap(blob)
+    assert table.longest(b"abc", 0) == (2, "yz") and table.longest(b"ac", 0) == (1, "x") and table.longest(b"ca", 0) is None
+
+
+def test_language_on_held_out_documents(docs):
+    found = language.identify(docs, language.learn(docs)).where(language.held_out())
+    total, right, rejected = found.agg(F.count("*"), F.sum((F.col("lang") == F.col("lang_pred")).cast("int")), F.sum(F.col("rejected").cast("int"))).first()
+    assert right >= 0.95 * total and rejected <= 0.05 * total
+
+
+def test_language_without_letters_or_labels(spark):
+    rows = frame(spark, [(i, "the cat sat on the mat " * 5, "en", "a") for i in range(40)] + [(99, None, "en", "a"), (98, "123 !?", "en", "a")])
+    got = {r.doc_id: (r.lang_pred, r.rejected) for r in language.identify(rows, language.learn(rows)).collect()}
+    assert got[99] == got[98] == ("und", True) and got[0] == ("en", False)
+    none = language.identify(rows, language.learn(rows.withColumn("lang", F.lit(None).cast("string"))))
+    assert {r.lang_pred for r in none.collect()} == {"und"}
+
+
+def jump_by_hand(key, shards_):
+    b, j = -1, 0
+    while j < shards_:
+        b = j
+        key = (key * 2862933555777941757 + 1) % 2**64
+        j = int((b + 1) * (float(1 << 31) / float((key >> 33) + 1)))
+    return b
+
+
+def test_shards(docs):
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = shards.shard_documents(docs, 24).collect()
+    for r in rows:
+        assert r.shard == jump_by_hand(r.doc_id, 24) and r.grown_shard == jump_by_hand(r.doc_id, 25)
+        assert r.size == len(texts[r.doc_id].encode()) + 8 and r.text_crc32 == zlib.crc32(texts[r.doc_id].encode())
+        assert r.grown_shard in (r.shard, 24)
+    for shard in range(24):
+        own = sorted((r.slot, r.doc_id) for r in rows if r.shard == shard)
+        assert [s for s, _ in own] == list(range(len(own))) and [d for _, d in own] == sorted(d for _, d in own)
+
+
+def test_fingerprints(docs):
+    texts = sorted((r.doc_id, r.text) for r in docs.collect())
+    got = {r.doc_id: r for r in fingerprints(docs, parts=7).collect()}
+    assert len(got) == len(texts)
+    for (doc, text), (_, after) in zip(texts, [*texts[1:], texts[0]]):
+        cut = len(text) // 4
+        edited = text[: len(text) - cut] + after[:cut]
+        assert got[doc].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert got[doc].fingerprint == Tree(text).root.hex() and got[doc].edited_fingerprint == Tree(edited).root.hex()
+        assert 0 <= got[doc].near_next <= 1 and 0 <= got[doc].near_edited <= 1
+    near = [r.near_edited > r.near_next for r in got.values() if r.n_chars > 200 and r.near_next < 1]
+    assert sum(near) > 0.95 * len(near)
+
+
+def test_edited_places():
+    old = "First line here.\nSecond line there.\n\nOther section. With two."
+    assert edited_places(old, old) == []
+    places = edited_places(old, old.replace("there", "gone"))
+    assert [p[0] for p in places] == ["section", "paragraph", "phrase"] and places[-1][1:] == (17, 34)
+
+
+def top_by_force(rows, k):
+    own = {}
+    for i, v in rows:
+        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
+            w = [int(np.floor(64 * x)) for x in v]
+            own[i] = min(own.get(i, w), w)
+    return {
+        q: [(i, s) for s, i in sorted((-sum(a * b for a, b in zip(own[q], v)), i) for i, v in own.items() if i != q)[:k]] for q in own if q % 20 == 0
+    }
+
+
+def test_top_k(spark):
+    rng = random.Random(5)
+    rows = [(i, [rng.choice([-1.5, 0.0, 0.25, rng.random()]) for _ in range(9)]) for i in range(200)]
+    rows += [(300, None), (320, [1.0, None]), (340, [float("nan")] * 9), (360, [2.0]), (None, [1.0] * 9), (380, []), (40, rows[40][1])]
+    frame_ = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for shard_vectors, k in ((64, 20), (10_000, 3), (7, 300)):
+        got = {}
+        for r in maxscore.top_k(frame_, F.col("vec_id") % 20 == 0, k, shard_vectors=shard_vectors, query_block=4).orderBy("query_id", "rank").collect():
+            got.setdefault(r.query_id, []).append((r.vec_id, -r.score))
+        assert got == {q: v for q, v in top_by_force(rows, k).items() if v}
+    assert maxscore.top_k(frame_.where("false"), F.lit(True)).count() == 0
+
+
+def words_of(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def near_by_force(rows, size, percent):
+    sets = []
+    for doc, text in rows:
+        w = words_of(text)
+        sets.append((doc, {tuple(w)} if 0 < len(w) < size else {tuple(w[i : i + size]) for i in range(len(w) - size + 1)}))
+    top = {d: d for d, _ in sets}
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for i, (a, x) in enumerate(sets):
+        for b, y in sets[:i]:
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
+                u, v = find(a), find(b)
+                top[max(u, v)] = min(u, v)
+    return {d: (len(x), find(d)) for d, x in sets}
+
+
+@pytest.mark.parametrize("size, percent, small, block", [(3, 85, 128, 512), (5, 80, 2, 3)])
+def test_near_duplicates(spark, docs, size, percent, small, block):
+    rng = random.Random(1)
+    base = [f"w{i}" for i in range(120)]
+    copies = []
+    for i in range(40):
+        own = list(base)
+        own[rng.randrange(120)] = f"z{i}"
+        copies.append((10_000 + i, " ".join(own)))
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + copies + [(20_000, None), (20_001, ""), (20_002, "two words"), (20_003, "Two  WORDS")]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size, percent, small=small, block=block).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == near_by_force(rows, size, percent)
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+
+
+def test_components(spark):
+    rng = random.Random(2)
+    links = [(i, i + 1) for i in range(0, 60)] + [(rng.randrange(100, 200), rng.randrange(100, 200)) for _ in range(60)] + [(5, 5)]
+    top = {}
+    find = lambda x: x if top.setdefault(x, x) == x else find(top[x])
+    for a, b in links:
+        u, v = find(a), find(b)
+        top[max(u, v)] = min(u, v)
+    got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {x: find(x) for x in top if find(x) != x or any(find(y) == x for y in top if y != x)}
+
+
+def secrets_by_force(text):
+    spans = []
+    for rank, rule in enumerate(secrets.BASE_RULES):
+        pattern = {"hex": "[0-9a-f]+", "access": "AKIA[A-Z0-9]+"}.get(rule.kind, rule.pattern)
+        least = {"hex": 32, "access": 16}.get(rule.kind, 8)
+        spans += [(m.start(), rank, m.end(), rule.kind) for m in re.finditer(pattern, text or "", re.A) if len(m[rule.group]) >= least]
+    return [f"{k}:{b}:{e}" for b, _, e, k in sorted(spans)]
+
+
+def test_secrets(spark):
+    rng = random.Random(4)
+    bits = ["password", "PassWd", "token", "api_key", "APIKEY", "=", ": ", '"', "'", " ", "abcdefgh12", "short", "AKIA", "ABCDEFGHIJKL", "é", "\n",
+            "0123456789abcdef", "secret", "-----BEGIN RSA PRIVATE KEY-----", "ghp_" + "a1" * 18]
+    rows = [(i, "".join(rng.choice(bits) for _ in range(rng.randint(0, 14))), None, None) for i in range(400)]
+    got = secrets.find_secrets(frame(spark, rows)).select("doc_id", "text", "secrets", secrets.redacted(F.col("text"), F.col("secrets")).alias("clean")).collect()
+    for r in got:
+        assert [f"{s.kind}:{s.start}:{s.end}" for s in r.secrets if s.rank < 3] == secrets_by_force(r.text)
+        assert not secrets_by_force(r.clean) or "[SECRET]" in r.clean
+    assert sum(bool(r.secrets) for r in got) > 100
+
+
+def test_trigram_queries():
+    assert secrets.trigram_query("[0-9a-f]{32,}") == secrets.ANY and secrets.trigram_query("ab|cde") == secrets.ANY
+    assert secrets.trigram_query("AKIA[A-Z0-9]{12,}") == {frozenset({"aki", "kia"})}
+    assert secrets.trigram_query("(abc|xyz)d+") == {frozenset({"abc"}), frozenset({"xyz"})}
+
+
+def test_repeated_passages(spark):
+    rng = random.Random(6)
+    fresh = lambda n: [f"v{rng.randrange(10**9)}" for _ in range(n)]
+    passage, other = fresh(80), fresh(90)
+    fuzzy = [w if i % 11 else f"x{i}" for i, w in enumerate(other)]
+    moved = other[:40] + fresh(3) + other[40:]
+    texts = {
+        1: fresh(60) + passage + fresh(40), 2: fresh(30) + other + fresh(30), 3: fresh(90) + passage + fresh(10), 4: fuzzy + fresh(50),
+        5: fresh(20) + moved, 6: fresh(200), 7: fresh(30) + passage[:30] + fresh(80), 8: passage,
+    }
+    rows = spark.createDataFrame([(d, " ".join(w)) for d, w in texts.items()], "doc_id long, text string")
+    got = {r.doc_id: r for r in repeated_passages(rows).collect()}
+    assert {d: r.sources for d, r in got.items()} == {1: [], 2: [], 3: [1], 4: [2], 5: [2], 6: [], 7: [], 8: [1]}
+    assert got[3].n_repeated_words == 80 and got[8].n_repeated_words == 80
+    assert " ".join(texts[3]).encode()[got[3].passages[0].begin : got[3].passages[0].end].decode() == " ".join(passage)
+    assert got[4].n_repeated_words >= 80 and got[5].n_repeated_words >= 90
+
+
+def test_exact_passages_of_the_table(docs):
+    """Every run of 60 words that an earlier document has lies in a passage found."""
+    found = {r.doc_id: r.passages for r in repeated_passages(docs).collect()}
+    seen = {}
+    for r in sorted(docs.collect(), key=lambda r: r.doc_id):
+        w = words_of(r.text)
+        runs = {tuple(w[i : i + 60]): i for i in range(len(w) - 59)}
+        for run, i in runs.items():
+            if len(set(run)) > 20 and run in seen:
+                assert any(p.first_word <= i + 5 and p.first_word + p.words >= i + 55 for p in found[r.doc_id]), (r.doc_id, i)
+        for run in runs:
+            seen.setdefault(run, r.doc_id)
+
+
+def test_mix_meets_its_targets(spark):
+    rng = random.Random(8)
+    rows = [(i, "word " * rng.randint(5, 50), rng.choice(["en", "en", "de"]), rng.choice("aab")) for i in range(3000)]
+    share = lambda values: spark.createDataFrame(list(values.items()), "value string, share double")
+    got = mixing.mixed(frame(spark, rows), {"source": share({"a": 0.5, "b": 0.5}), "lang": share({"en": 0.5, "de": 0.5})})
+    total = got.where("_kept").agg(F.sum("_tokens")).first()[0]
+    for column in ("_source", "_lang"):
+        for r in got.where("_kept").groupBy(column).agg(F.sum("_tokens").alias("t")).collect():
+            assert abs(r.t / total - 0.5) < 0.05
