@@ -5,9 +5,9 @@ import io
 
 import pytest
 
-import __spark_entry__ as entry_points
+from tidemill.plans import registry
 
-TABLE_QUERIES = [n for n in sorted(entry_points.queries()) if not n.startswith(("stream_", "kmeans_"))]
+TABLE_QUERIES = [n for n in sorted(registry.queries()) if not n.startswith(("stream_", "kmeans_"))]
 
 
 def plan_of(df, mode=None) -> str:
@@ -27,7 +27,7 @@ def no_small_tables(spark):
 
 @pytest.mark.parametrize("name", TABLE_QUERIES)
 def test_no_pairwise_joins_and_no_single_task_windows(spark, data, no_small_tables, name):
-    plan = plan_of(entry_points.queries()[name](spark, data))
+    plan = plan_of(registry.queries()[name](spark, data))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     lines = plan.splitlines()
     for above, below in zip(lines, lines[1:]):
@@ -40,7 +40,7 @@ def test_no_pairwise_joins_and_no_single_task_windows(spark, data, no_small_tabl
     ("sliding_window_count", 2), ("word_counts", 1), ("bucket_sum", 1), ("table_upsert", 2), ("idle_sessions", 2),
 ])
 def test_number_of_shuffles(spark, data, no_small_tables, name, exchanges):
-    plan = plan_of(entry_points.queries()[name](spark, data))
+    plan = plan_of(registry.queries()[name](spark, data))
     assert plan.count("Exchange hashpartitioning") == exchanges, plan
 
 
@@ -51,7 +51,7 @@ def test_number_of_shuffles(spark, data, no_small_tables, name, exchanges):
     ("stream_static_left", "EqualTo(c_mktsegment,BUILDING)"),
 ])
 def test_filters_reach_the_scan(spark, data, name, part):
-    pushed = [line for line in plan_of(entry_points.queries()[name](spark, data), "formatted").splitlines() if "PushedFilters" in line]
+    pushed = [line for line in plan_of(registry.queries()[name](spark, data), "formatted").splitlines() if "PushedFilters" in line]
     assert any(part in line for line in pushed), pushed
 
 
@@ -62,5 +62,5 @@ def test_filters_reach_the_scan(spark, data, name, part):
     ("sliding_bootstrap_state", "struct<ts:timestamp_ntz,user_id:bigint,value:double>"),
 ])
 def test_only_needed_columns_are_read(spark, data, name, columns):
-    plan = plan_of(entry_points.queries()[name](spark, data), "formatted")
+    plan = plan_of(registry.queries()[name](spark, data), "formatted")
     assert f"ReadSchema: {columns}" in plan, plan

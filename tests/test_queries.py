@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as entry_points
 from compare import connect, differences
+from tidemill.plans import registry
 
-SQL = entry_points.oracle_sql()
+QUERIES, SQL = registry.queries(), registry.comparison_sql()
 
 
 @pytest.fixture(scope="module")
@@ -13,20 +14,24 @@ def duck(data):
     return connect(data)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, data, duck, name):
-    result = entry_points.queries()[name](spark, data)
+    result = QUERIES[name](spark, data)
     if name in SQL:
         assert differences(result, SQL[name], duck) is None
     else:
         assert result.count() > 0
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry_points.queries()) and set(SQL) <= set(entry_points.oracle_sql())
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).columns == ["o_orderkey", "status", "cents"]
 
 
 def test_only_models_have_no_sql():
-    assert {n for n in entry_points.queries() if n not in SQL} == {
+    assert {n for n in QUERIES if n not in SQL} == {
         "kmeans_ranges", "kmeans_time_ranges", "kmeans_hex_ranges", "stream_time_clusters"
     }
