@@ -13,7 +13,7 @@ from tidemill.session import cut
 #: A word: no ASCII white space.
 WORD = r"[^\x09-\x0D\x20]+"
 #: Topics by the first pattern that the text holds; "other" if none does.
-TOPICS = {"legal": r"(?i)licen[cs]e|copyright|warranty", "contact": r"[A-Za-z0-9._-]+@[A-Za-z0-9-]+\.|https?://"}
+TOPICS = {"legal": r"(?i)licen[cs]e|copyright|warranty", "contact": r"[A-Za-z0-9._-]@[A-Za-z0-9-]+\.|https?://"}
 #: Rounds of scaling, and how many are planned together.
 ROUNDS, ROUNDS_AT_ONCE = 6, 3
 
