@@ -175,3 +175,16 @@ def test_batch_folder(spark, tmp_path):
 def test_shared_dir_follows_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(shared_dir(spark)) and scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_change_keys_of_another_type_and_kept_batch_ids(spark, tmp_path):
+    from tidemill.operators.changes import apply_changes
+    from tidemill.sources.snapshot import SnapshotTable
+
+    table = SnapshotTable(spark, str(tmp_path / "t"), ["id"])
+    table.write(spark.range(200).selectExpr("id", "'a' AS v"), batch_id=3)
+    changes = spark.createDataFrame([(i, "b", "U", i) for i in range(5)], "id int, v string, oc string, nr int")
+    apply_changes(table, changes, ["nr"])
+    rows = {r.id: r.v for r in table.read().collect()}
+    assert len(rows) == 200 and [rows[i] for i in range(6)] == ["b"] * 5 + ["a"]
+    assert table.last_batch() == 3

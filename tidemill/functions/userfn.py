@@ -6,6 +6,8 @@ no column form is run, vectorised over Arrow batches.
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +17,8 @@ from pyspark.sql import types as T
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def split_words(lines: pd.Series) -> pd.Series:
     """Words of each line; a missing line has none. Column form: ``parse.words``."""
-    return lines.map(lambda line: [] if line is None else line.split())
+    blanks = re.compile(r"[ \t\n\x0B\f\r]+")
+    return lines.map(lambda line: [] if line is None else [w for w in blanks.split(line) if w])
 
 
 @F.pandas_udf(T.DoubleType())

@@ -90,8 +90,11 @@ def apply_changes(
 ) -> int:
     """Merge the newest change per key into a versioned table, rewriting only the buckets they touch.
 
-    A batch id seen before changes nothing.
+    A batch id seen before changes nothing. Keys are cast to the table's types first, else they would fall into
+    other buckets.
     """
+    types = {f.name: f.dataType for f in table.read(buckets=[]).schema.fields}
+    changes = changes.withColumns({k: changes[k].cast(types[k]) for k in table.keys})
     done = table.last_batch() if batch_id is not None else None
     if done is not None and batch_id <= done:
         return table.latest_version()

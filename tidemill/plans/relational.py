@@ -30,7 +30,7 @@ def word_count_space(spark, folder):
 
 def word_count_user_code(spark, folder):
     """The count through a vectorised user function."""
-    return aggregate.word_count(raw_table(spark, folder, "benchmark"), userfn.split_words("text"))
+    return aggregate.word_count(raw_table(spark, folder, "documents"), userfn.split_words("text"))
 
 
 def first_events(spark, folder):
@@ -342,7 +342,7 @@ SELECT word, count(*) AS count
 FROM (SELECT unnest(CASE WHEN text = '' THEN [''] WHEN rtrim(text, ' ') = '' THEN []
                          ELSE string_split(rtrim(text, ' '), ' ') END) AS word FROM documents)
 GROUP BY word"""),
-    "word_count_user_code": (word_count_user_code, _WORDS.format("benchmark")),
+    "word_count_user_code": (word_count_user_code, _WORDS.format("documents")),
     "first_events": (first_events, "SELECT * FROM events ORDER BY ts, event_id LIMIT 20"),
     "stream_static_left": (stream_static_left, """
 SELECT user_id, event_id, c_name FROM events

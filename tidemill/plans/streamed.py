@@ -32,6 +32,11 @@ def _emitted(df: DataFrame) -> DataFrame:
 
 def _final(df: DataFrame, keys: list[str], mode: str = "update") -> DataFrame:
     """Last row emitted per key of an update-mode stream."""
+    return newest_per_key(_by_batch(df, mode), keys, ["batch_id"]).drop("batch_id")
+
+
+def _by_batch(df: DataFrame, mode: str = "update") -> DataFrame:
+    """All rows emitted, with the batch of each; a repeated batch replaces its rows."""
     spark = df.sparkSession
     base = scratch_path(spark, "stream")
 
@@ -40,8 +45,7 @@ def _final(df: DataFrame, keys: list[str], mode: str = "update") -> DataFrame:
 
     sinks.each_batch(df, keep, f"{base}/checkpoint", mode).awaitTermination()
     schema = df.withColumn("batch_id", F.lit(0)).schema
-    rows = spark.read.option("recursiveFileLookup", True).schema(schema).parquet(f"{base}/rows")
-    return newest_per_key(rows, keys, ["batch_id"]).drop("batch_id")
+    return spark.read.option("recursiveFileLookup", True).schema(schema).parquet(f"{base}/rows")
 
 
 def _run(df: DataFrame, handle, base: str) -> None:
@@ -135,11 +139,11 @@ def _bootstrapped(spark, folder):
 
 
 def stream_sliding_sum(spark, folder):
-    """Sliding sums from the state store, started from the history."""
+    """Sliding sums from the state store, started from the history; one row per event, also at tied instants."""
     use_rocksdb(spark)
     state, live = _bootstrapped(spark, folder)
     summed = sliding_sum_stream(live, 3600, 1800, state, tie_break="tie")
-    return zoneless(_final(summed, ["id", "timestamp"]))
+    return zoneless(_by_batch(summed).drop("batch_id"))
 
 
 def stream_sliding_sum_table(spark, folder):

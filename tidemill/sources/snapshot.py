@@ -90,6 +90,8 @@ class SnapshotTable:
             done = self.last_batch()
             if done is not None and batch_id <= done:
                 return latest
+        if batch_id is None:
+            batch_id = self.last_batch()  # a write without an id does not forget the last one
         version = 0 if latest is None else latest + 1
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
         placed = df.withColumn("bucket", self.bucket_of())

@@ -93,15 +93,19 @@ def with_row_count(df: DataFrame, name: str = "rows") -> DataFrame:
     return df.observe(name, F.count(F.lit(1)).alias("count"))
 
 
-def stop_after(query: StreamingQuery, batches: int, timeout: float = 600.0) -> None:
-    """Stop a query once it has finished that many batches, or when the time is over."""
+def stop_after(query: StreamingQuery, batches: int, timeout: float) -> None:
+    """Stop a query once it has finished that many batches; an error if it hasn't within ``timeout`` seconds."""
     waited, step = 0.0, 0.2
-    while waited < timeout and not query.awaitTermination(step):
-        last = query.lastProgress
-        if last is not None and last["batchId"] >= batches - 1:
-            break
-        waited += step
-    query.stop()
+    try:
+        while not query.awaitTermination(step):
+            last = query.lastProgress
+            if last is not None and last["batchId"] >= batches - 1:
+                return
+            waited += step
+            if waited >= timeout:
+                raise TimeoutError(f"the query has not finished {batches} batches within {timeout} s")
+    finally:
+        query.stop()
 
 
 def _as_dict(progress) -> Mapping:
