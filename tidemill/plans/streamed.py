@@ -1,8 +1,14 @@
-"""Streaming jobs run over the tables' files until all are read; the emitted rows are the result."""
+"""Streaming jobs over tables that arrive in parts; the emitted rows are the result.
+
+A part is written, the job runs until it has read it and stops; for the next part it starts again from its checkpoint.
+So every result below depends on state carried over micro-batches and restarts.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Iterator
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.operators import sliding
@@ -11,45 +17,94 @@ from tidemill.operators.latest import newest_per_key
 from tidemill.plans import feeds, inputs, relational, timed
 from tidemill.session import scratch_path, use_rocksdb
 from tidemill.sources.snapshot import SnapshotTable
-from tidemill.sources.tables import table, table_stream, zoneless
-from tidemill.streaming import flows, sinks
+from tidemill.sources.tables import raw_table, table, zoned, zoneless
+from tidemill.streaming import flows, idle, sinks
 from tidemill.streaming import tables as jobs
 from tidemill.streaming.sliding_state import SlidingSumTable, sliding_sum_stream
 
 
-def _event_stream(spark, folder):
-    return table_stream(spark, folder, "events").withColumn("cents", inputs.cents("value"))
+#: Parts in which a table arrives.
+PARTS = 5
+
+
+class Feed:
+    """A table that arrives in :data:`PARTS` parts, by equal steps of a column; nulls are in the first."""
+
+    def __init__(self, spark, folder, name: str, order: str):
+        self.spark, self.order = spark, order
+        self.source = raw_table(spark, folder, name)
+        self.path = scratch_path(spark, f"feed-{name}")
+        low, high = self.source.agg(F.min(order), F.max(order)).first()
+        bounds = [] if low is None else [self._step(low, high, i) for i in range(1, PARTS)]
+        self.ranges = list(zip([None, *bounds], [*bounds, None]))
+        self._write(0)
+
+    @staticmethod
+    def _step(low, high, i: int):
+        return low + (high - low) * i // PARTS
+
+    def _bound(self, value) -> Column:
+        return F.lit(str(value)).cast(self.source.schema[self.order].dataType)
+
+    def _write(self, part: int) -> None:
+        (low, high), column, rows = self.ranges[part], F.col(self.order), self.source
+        if low is not None:
+            rows = rows.where(column >= self._bound(low))
+        if high is not None:
+            before = column < self._bound(high)
+            rows = rows.where(before | column.isNull() if part == 0 else before)
+        rows.write.mode("append").parquet(self.path)
+
+    def stream(self) -> DataFrame:
+        return zoned(self.spark.readStream.schema(self.source.schema).parquet(self.path))
+
+    def arrivals(self) -> Iterator[int]:
+        """Part numbers, each once its rows are there."""
+        yield 0
+        for part in range(1, len(self.ranges)):
+            self._write(part)
+            yield part
+
 
+class Events(Feed):
+    """The events in order of time, or of another column."""
 
-def _emitted(df: DataFrame) -> DataFrame:
+    def __init__(self, spark, folder, order: str = "ts"):
+        super().__init__(spark, folder, "events", order)
+
+    def stream(self) -> DataFrame:
+        return super().stream().withColumn("cents", inputs.cents("value"))
+
+
+def _emitted(feed: Feed, df: DataFrame) -> DataFrame:
     """Rows of an append-mode stream."""
-    spark = df.sparkSession
-    base = scratch_path(spark, "stream")
-    writer = df.writeStream.format("parquet").option("path", f"{base}/rows").option("checkpointLocation", f"{base}/checkpoint")
-    sinks.triggered(writer).start().awaitTermination()
-    return spark.read.schema(df.schema).parquet(f"{base}/rows")
+    base = scratch_path(feed.spark, "stream")
+    for _ in feed.arrivals():
+        writer = df.writeStream.format("parquet").option("path", f"{base}/rows").option("checkpointLocation", f"{base}/checkpoint")
+        sinks.triggered(writer).start().awaitTermination()
+    return feed.spark.read.schema(df.schema).parquet(f"{base}/rows")
 
 
-def _final(df: DataFrame, keys: list[str], mode: str = "update") -> DataFrame:
+def _final(feed: Feed, df: DataFrame, keys: list[str], mode: str = "update") -> DataFrame:
     """Last row emitted per key of an update-mode stream."""
-    return newest_per_key(_by_batch(df, mode), keys, ["batch_id"]).drop("batch_id")
+    return newest_per_key(_by_batch(feed, df, mode), keys, ["batch_id"]).drop("batch_id")
 
 
-def _by_batch(df: DataFrame, mode: str = "update") -> DataFrame:
+def _by_batch(feed: Feed, df: DataFrame, mode: str = "update") -> DataFrame:
     """All rows emitted, with the batch of each; a repeated batch replaces its rows."""
-    spark = df.sparkSession
-    base = scratch_path(spark, "stream")
+    base = scratch_path(feed.spark, "stream")
 
     def keep(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{base}/rows/batch={batch_id}")
 
-    sinks.each_batch(df, keep, f"{base}/checkpoint", mode).awaitTermination()
+    _run(feed, df, keep, base, mode)
     schema = df.withColumn("batch_id", F.lit(0)).schema
-    return spark.read.option("recursiveFileLookup", True).schema(schema).parquet(f"{base}/rows")
+    return feed.spark.read.option("recursiveFileLookup", True).schema(schema).parquet(f"{base}/rows")
 
 
-def _run(df: DataFrame, handle, base: str) -> None:
-    sinks.each_batch(df, handle, f"{base}/checkpoint").awaitTermination()
+def _run(feed: Feed, df: DataFrame, handle: Callable[[DataFrame, int], None], base: str, mode: str = "append") -> None:
+    for _ in feed.arrivals():
+        sinks.each_batch(df, handle, f"{base}/checkpoint", mode).awaitTermination()
 
 
 def _starts(df: DataFrame) -> DataFrame:
@@ -60,65 +115,91 @@ def _starts(df: DataFrame) -> DataFrame:
 
 
 def stream_word_count(spark, folder):
-    return _final(flows.running_word_count(table_stream(spark, folder, "documents"), "text"), ["value"])
+    feed = Feed(spark, folder, "documents", "doc_id")
+    return _final(feed, flows.running_word_count(feed.stream(), "text"), ["value"])
 
 
 def stream_counts_by_type(spark, folder):
-    return _final(flows.running_count(_event_stream(spark, folder), "event_type"), ["event_type"], "complete")
+    feed = Events(spark, folder)
+    return _final(feed, flows.running_count(feed.stream(), "event_type"), ["event_type"], "complete")
 
 
 def stream_window_count(spark, folder):
-    counted = flows.window_counts(_event_stream(spark, folder), "event_type", "ts", "1 hour", "20 minutes", "1 hour")
-    return zoneless(_final(_starts(counted).withColumnRenamed("count", "n"), ["event_type", "window_start"]))
+    feed = Events(spark, folder)
+    counted = flows.window_counts(feed.stream(), "event_type", "ts", "1 hour", "20 minutes", "1 hour")
+    return zoneless(_final(feed, _starts(counted).withColumnRenamed("count", "n"), ["event_type", "window_start"]))
 
 
 def stream_latest_per_sliding(spark, folder):
+    feed = Events(spark, folder)
     latest = flows.window_latest(
-        _event_stream(spark, folder), "event_type", "ts", "cents", ["ts", "event_id"], "1 hour", "20 minutes", "1 hour"
+        feed.stream(), "event_type", "ts", "cents", ["ts", "event_id"], "1 hour", "20 minutes", "1 hour"
     )
-    return zoneless(_final(_starts(latest), ["event_type", "window_start"]))
+    return zoneless(_final(feed, _starts(latest), ["event_type", "window_start"]))
 
 
 def stream_avg_per_sliding(spark, folder):
     """Append mode: only windows the watermark has passed."""
+    feed = Events(spark, folder)
     average = flows.window_average(
-        _event_stream(spark, folder), "event_type", "ts", "cents", "1 hour", "30 minutes", "1 hour"
+        feed.stream(), "event_type", "ts", "cents", "1 hour", "30 minutes", "1 hour"
     )
-    return zoneless(_emitted(_starts(average)).withColumn("average", F.round("average", 6)))
+    return zoneless(_emitted(feed, _starts(average)).withColumn("average", F.round("average", 6)))
 
 
 def stream_users_per_window(spark, folder):
     """Append mode: only windows the watermark has passed."""
-    users = flows.users_per_window(_event_stream(spark, folder), "ts", "user_id", "1 hour", "1 hour")
-    return zoneless(_emitted(_starts(users)))
+    feed = Events(spark, folder)
+    users = flows.users_per_window(feed.stream(), "ts", "user_id", "1 hour", "1 hour")
+    return zoneless(_emitted(feed, _starts(users)))
 
 
 def stream_dedup(spark, folder):
-    return _emitted(flows.first_seen(_event_stream(spark, folder).select("user_id"), ["user_id"]))
+    """Each user's row comes from the first part that has the user; within a part any of its rows may be taken."""
+    feed = Events(spark, folder)
+    rows = feed.stream().select("user_id", F.to_date("ts").alias("day"))
+    return _emitted(feed, flows.first_seen(rows, ["user_id"])).select("user_id")
 
 
 def stream_static_join(spark, folder):
     builders = table(spark, folder, "customer").where(F.col("c_mktsegment") == "BUILDING").select(
         F.col("c_custkey").alias("user_id"), "c_name"
     )
-    return _emitted(with_static(_event_stream(spark, folder).select("event_id", "user_id"), builders, "user_id"))
+    feed = Events(spark, folder)
+    return _emitted(feed, with_static(feed.stream().select("event_id", "user_id"), builders, "user_id"))
 
 
 def stream_interval_join(spark, folder):
+    feed = Events(spark, folder)
+
     def side(kind, prefix):
-        return _event_stream(spark, folder).where(F.col("event_type") == kind).select(
+        return feed.stream().where(F.col("event_type") == kind).select(
             F.col("event_id").alias(f"{prefix}_id"),
             F.col("user_id").alias(f"{prefix}_ad_id"),
             F.col("ts").alias(f"{prefix}_time"),
         )
 
-    joined = flows.clicks_after_impressions(side("view", "impression"), side("click", "click"))
-    return zoneless(_emitted(joined))
+    joined = flows.clicks_after_impressions(side("view", "impression"), side("click", "click"), splits=4)
+    return zoneless(_emitted(feed, joined))
+
+
+def stream_late_rows(spark, folder):
+    """Hourly counts of events that arrive by event id: what comes for a window behind the watermark is dropped."""
+    feed = Events(spark, folder, order="event_id")
+    counted = flows.window_counts(feed.stream(), "event_type", "ts", "1 hour", None, "3 days")
+    return zoneless(_final(feed, _starts(counted).withColumnRenamed("count", "n"), ["event_type", "window_start"]))
+
+
+def stream_idle_counts(spark, folder):
+    """Append mode: sessions of six hours' silence that the watermark has passed."""
+    feed = Events(spark, folder)
+    return zoneless(_emitted(feed, idle.idle_counts(feed.stream(), "user_id", "ts", "6 hours", "1 hour")))
 
 
 def stream_latest_map(spark, folder):
-    latest = flows.latest_map(_event_stream(spark, folder), "user_id", "cents", ["ts", "event_id"])
-    return _final(latest, ["user_id"])
+    feed = Events(spark, folder)
+    latest = flows.latest_map(feed.stream(), "user_id", "cents", ["ts", "event_id"])
+    return _final(feed, latest, ["user_id"])
 
 
 # -- own state ---------------------------------------------------------------------
@@ -131,35 +212,37 @@ def _bootstrapped(spark, folder):
     cutoff = sliding.bootstrap_cutoff(history, "ts", 1800)
     state = sliding.bootstrap_state(history, "user_id", "ts", "cents", 1800, cutoff, window=3600)
     state = state.withColumnRenamed("user_id", "id").withColumn("id", F.col("id").cast("string"))
-    live = sliding.from_cutoff(_event_stream(spark, folder), "ts", cutoff).select(
+    feed = Events(spark, folder)
+    live = sliding.from_cutoff(feed.stream(), "ts", cutoff).select(
         F.col("user_id").cast("string").alias("id"), F.col("ts").alias("timestamp"), F.col("cents").alias("value"),
         F.col("event_id").alias("tie"),
     )
-    return state, live
+    return feed, state, live
 
 
 def stream_sliding_sum(spark, folder):
     """Sliding sums from the state store, started from the history; one row per event, also at tied instants."""
     use_rocksdb(spark)
-    state, live = _bootstrapped(spark, folder)
+    feed, state, live = _bootstrapped(spark, folder)
     summed = sliding_sum_stream(live, 3600, 1800, state, tie_break="tie")
-    return zoneless(_by_batch(summed).drop("batch_id"))
+    return zoneless(_by_batch(feed, summed).drop("batch_id"))
 
 
 def stream_sliding_sum_table(spark, folder):
     """The same sums with the state as a table."""
-    state, live = _bootstrapped(spark, folder)
+    feed, state, live = _bootstrapped(spark, folder)
     base = scratch_path(spark, "sliding")
     job = SlidingSumTable(spark, base, 3600, 1800)
     job.bootstrap(state)
-    _run(live, job.process, base)
+    _run(feed, live, job.process, base)
     return zoneless(job.output.all())
 
 
 def stream_window_metrics(spark, folder):
     base = scratch_path(spark, "distinct")
     job = jobs.DistinctCounts(spark, base, inputs.event_segments(), timed.WIDTHS, "ts", "user_id")
-    _run(_event_stream(spark, folder), job.process, base)
+    feed = Events(spark, folder)
+    _run(feed, feed.stream(), job.process, base)
     return zoneless(job.metrics.all())
 
 
@@ -168,7 +251,8 @@ def stream_cdc_merge(spark, folder):
     stored = SnapshotTable(spark, f"{base}/orders", ["o_orderkey"])
     stored.write(inputs.order_target(spark, folder))
     job = jobs.CdcMerge({inputs.NAMESPACE: jobs.CdcTarget(stored, feeds.ORDER_KEY, feeds.ORDER_VALUE)})
-    _run(inputs.order_changes_of(table_stream(spark, folder, "orders")), job.process, base)
+    feed = Feed(spark, folder, "orders", "o_orderkey")
+    _run(feed, inputs.order_changes_of(feed.stream()), job.process, base)
     return stored.read()
 
 
@@ -176,22 +260,31 @@ def stream_latest_map_table(spark, folder):
     base = scratch_path(spark, "map")
     stored = SnapshotTable(spark, f"{base}/map", ["user_id"])
     job = jobs.LatestMap(stored, "cents", ["ts", "event_id"])
-    _run(_event_stream(spark, folder).select("user_id", "cents", "ts", "event_id"), job.process, base)
+    feed = Events(spark, folder)
+    _run(feed, feed.stream().select("user_id", "cents", "ts", "event_id"), job.process, base)
     return stored.read()
 
 
 def stream_time_clusters(spark, folder):
     base = scratch_path(spark, "clusters")
     job = jobs.TimeClusters(spark, f"{base}/ranges", "ts")
-    _run(_event_stream(spark, folder).select("ts"), job.process, base)
+    feed = Events(spark, folder)
+    _run(feed, feed.stream().select("ts"), job.process, base)
     return zoneless(job.ranges.all())
 
 
+def stream_time_clusters_ok(spark, folder):
+    """Rows covered, number of clusters over all parts, and whether no two ranges overlap, as the parts follow in time."""
+    return relational.ranges_summary("parts", stream_time_clusters(spark, folder), "left_bound", "right_bound")
+
+
 def stream_ingest_json(spark, folder):
     """Records appended as JSON in folders of their day and hour, then counted from the files."""
     base = scratch_path(spark, "ingest")
-    records = inputs.envelope_of(_event_stream(spark, folder)).drop("headers")
-    sinks.to_json_folders(records, f"{base}/rows", f"{base}/checkpoint", folders=("day", "hour")).awaitTermination()
+    feed = Events(spark, folder)
+    records = inputs.envelope_of(feed.stream()).drop("headers")
+    for _ in feed.arrivals():
+        sinks.to_json_folders(records, f"{base}/rows", f"{base}/checkpoint", folders=("day", "hour")).awaitTermination()
     schema = "key string, value string, topic string, partition int, offset bigint, day string, hour int"
     written = spark.read.schema(schema).json(f"{base}/rows")
     payload = F.from_json(F.unbase64("value").cast("string"), inputs.PAYLOAD)
@@ -209,6 +302,15 @@ FROM e JOIN e p ON p.user_id = e.user_id AND (p.ts, p.event_id) <= (e.ts, e.even
 WHERE e.s >= ((SELECT max(s) FROM e WHERE ts < TIMESTAMP '2024-01-20 11:07:00') - 60) // 1800 * 1800
 GROUP BY e.user_id, e.ts, e.event_id
 """
+_LATE = f"""
+WITH b AS (SELECT min(event_id) AS low, max(event_id) AS high FROM events),
+e AS (SELECT e.*, date_trunc('hour', ts) AS window_start,
+             (SELECT count(*) FROM range(1, {PARTS}) r(i) WHERE event_id >= low + (high - low) * i // {PARTS}) AS part FROM events e, b),
+m AS (SELECT part, max(ts) AS latest FROM e GROUP BY part),
+w AS (SELECT p.part, max(m.latest) - INTERVAL 3 DAY AS behind FROM m p LEFT JOIN m ON m.part < p.part GROUP BY p.part)
+SELECT event_type, window_start, count(*) AS n FROM e JOIN w USING (part)
+WHERE behind IS NULL OR window_start + INTERVAL 1 HOUR > behind GROUP BY ALL
+"""
 _LATEST = """
 SELECT user_id, arg_max(CAST(round(value * 100) AS BIGINT), (ts, event_id)) AS cents FROM events GROUP BY 1"""
 
@@ -233,6 +335,11 @@ HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= {_CLOSED}"""),
     "stream_window_metrics": (stream_window_metrics, timed.QUERIES["window_metrics"][1]),
     "stream_cdc_merge": (stream_cdc_merge, feeds.QUERIES["cdc_merge"][1]),
     "stream_time_clusters": (stream_time_clusters, None),
+    "stream_time_clusters_ok": (stream_time_clusters_ok, f"""
+SELECT 'parts' AS name, count(*) AS n, CAST({3 * PARTS} AS BIGINT) AS clusters, true AS disjoint FROM events"""),
+    "stream_late_rows": (stream_late_rows, _LATE),
+    "stream_idle_counts": (stream_idle_counts, f"""
+SELECT * FROM ({timed.QUERIES["idle_sessions"][1]}) WHERE session_end + INTERVAL 6 HOUR <= {_CLOSED}"""),
     "stream_ingest_json": (stream_ingest_json, """
 SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, CAST(hour(ts) AS INTEGER) AS hour, CAST(event_id % 3 AS INTEGER) AS partition,
        count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents, max(event_id // 3) AS last_offset
