@@ -3,29 +3,30 @@
 from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.timefn import from_shifted_millis, hex_id_seconds, shifted_millis, to_hex
+from tidemill.session import cut
 
 
 def cluster_ranges(df: DataFrame, value: str, k: int = 3, seed: int = 1) -> DataFrame:
     """``range_min, range_max, n`` per cluster of a numeric column, in value order.
 
-    ``df`` is read once per iteration: the features are persisted by the
-    trainer for as long as it runs.
+    ``df`` is read once, to count its values; the trainer weighs each distinct value by its count. Those values and
+    counts are all that is kept and read once per iteration.
     """
-    features = df.where(F.col(value).isNotNull()).select(
-        array_to_vector(F.array(F.col(value).cast("double"))).alias("features")
-    )
-    model = KMeans(k=k, seed=seed, featuresCol="features").fit(features)
-    number = vector_to_array("features")[0]
+    numbers = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
+    counted = cut(numbers.groupBy("v").agg(F.count(F.lit(1)).alias("n")))
+    features = counted.select("v", "n", array_to_vector(F.array("v")).alias("features"))
+    if features.isEmpty():
+        return df.sparkSession.createDataFrame([], "range_min double, range_max double, n bigint")
+    model = KMeans(k=k, seed=seed, featuresCol="features", weightCol="n").fit(features)
     return (
         model.transform(features)
-        .select(number.alias("v"), "prediction")
         .groupBy("prediction")
-        .agg(F.min("v").alias("range_min"), F.max("v").alias("range_max"), F.count(F.lit(1)).alias("n"))
+        .agg(F.min("v").alias("range_min"), F.max("v").alias("range_max"), F.sum("n").alias("n"))
         .drop("prediction")
         .orderBy("range_min")
     )
