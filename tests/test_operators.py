@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tidemill.functions.predicates import Segment
 from tidemill.operators import aggregate, changes, cluster, control, distinct, joins, latest, ordered, panes, paths, progress, sessions, sketch, skew
 
 from tidemill.sources.tables import table
@@ -159,6 +160,19 @@ def test_running_sum_against_brute_force(spark, hot_rows):
     assert {r.tie: r.running for r in found.collect()} == want
 
 
+def test_groups_are_hot_by_the_threshold_alone(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") < 1000, F.col("id") % 50).otherwise(F.col("id")).alias("k"))
+    hot = skew.hot_groups(rows, ["k"], 8)
+    assert hot.count() == 50 and {r[0] for r in hot.select("_splits").distinct().collect()} == {3}  # 20 rows each
+
+
+def test_more_segments_than_bits(spark):
+    rows = spark.createDataFrame([(i % 140, f"u{i % 7}", dt.datetime(2024, 1, 1, 0, i % 3)) for i in range(280)], "n int, u string, ts timestamp")
+    segments = [Segment(f"s{i}", F.col("n") % 140 == i) for i in range(140)]
+    found = {r.user_type: r.distinct_users for r in distinct.segment_distinct(rows, segments, [3600], "ts", "u").collect()}
+    assert found == {f"s{i}": 1 for i in range(140)}
+
+
 def test_ordered_index(spark):
     df = spark.range(1000).select(((F.col("id") * 7919) % 1000).alias("n"))
     assert [(r.n, r.idx) for r in ordered.ordered_index(df, ["n"]).orderBy("n").collect()] == [(i, i) for i in range(1000)]

@@ -1,4 +1,6 @@
+import contextlib
 import datetime as dt
+import io
 import random
 
 import pytest
@@ -97,6 +99,18 @@ def test_table_operator_against_rule(spark, window, width, hot_rows):
     assert {r.tie: r.running_sum for r in got.collect()} == step_by_step(events, window, width)
 
 
+def test_hot_buckets_stay_apart(spark):
+    """Nothing above the union of ordinary and hot buckets shuffles them together again."""
+    rows = spark.range(500).select(
+        F.lit("hot").alias("id"), F.timestamp_seconds(F.col("id") + 1_700_000_000).alias("timestamp"), F.lit(1).alias("value"), F.col("id").alias("tie"))
+    summed = sliding.sliding_running_sum(rows, "id", "timestamp", "value", ["tie"], 3600, 1800, hot_rows=50)
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        summed.explain()
+    above = text.getvalue().split("Union")[0]
+    assert "Union" in text.getvalue() and "Exchange" not in above and "Window" not in above
+
+
 def test_width_check(spark):
     df = spark.createDataFrame([], SCHEMA)
     with pytest.raises(ValueError):

@@ -9,13 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.predicates import Segment
 from tidemill.functions.timefn import time_bucket
 
 WINDOW = ["user_type", "window_s", "start_time"]
+#: Segments per bit column: those of a long but its sign.
+_BITS = 63
 USER_ROWS = "user_type string, window_s int, start_time timestamp, user_id string"
 
 
@@ -24,27 +26,37 @@ def segment_users(
 ) -> DataFrame:
     """Distinct ``user_type, window_s, start_time, user_id`` rows in one pass.
 
-    The segments an event belongs to are one bit each. Bits are merged per
+    The segments an event belongs to are one bit each, 63 to a column. Bits are merged per
     (window, user) map-side, and only then does a row become one row per
     segment; events are copied per window width, not per series. Events
     without a user id are not counted.
     """
-    if len(segments) > 63:
-        raise ValueError("at most 63 segments per pass")
-    bits = F.lit(0).cast("bigint")
-    for position, segment in enumerate(segments):
-        bits = bits + F.when(segment.predicate, F.lit(1 << position).cast("bigint")).otherwise(0)
+    words = [segments[at:at + _BITS] for at in range(0, len(segments), _BITS)]
+    names = [f"_bits{i}" for i in range(len(words))]
+
+    def bits(part: Sequence[Segment]) -> Column:
+        held = F.lit(0).cast("bigint")
+        for position, segment in enumerate(part):
+            held = held + F.when(segment.predicate, F.lit(1 << position).cast("bigint")).otherwise(0)
+        return held
+
     starts = F.array(*[
         F.struct(F.lit(w).alias("window_s"), time_bucket(F.col(ts), w).alias("start_time")) for w in windows
     ])
-    names = F.array(*[F.lit(s.name) for s in segments])
     merged = (
-        df.select(F.col(user).cast("string").alias("user_id"), bits.alias("_bits"), F.explode(starts).alias("w"))
-        .where(F.col("user_id").isNotNull() & (F.col("_bits") != 0))
+        df.select(
+            F.col(user).cast("string").alias("user_id"), *[bits(part).alias(n) for n, part in zip(names, words)],
+            F.explode(starts).alias("w"),
+        )
+        .where(F.col("user_id").isNotNull() & (F.greatest(F.lit(0), *names) > 0))
         .groupBy("w.window_s", "w.start_time", "user_id")
-        .agg(F.bit_or("_bits").alias("_bits"))
+        .agg(*[F.bit_or(n).alias(n) for n in names])
     )
-    held = F.filter(names, lambda name, i: F.getbit(F.col("_bits"), i) == 1)
+
+    def named(column: str, part: Sequence[Segment]) -> Column:
+        return F.filter(F.array(*[F.lit(s.name) for s in part]), lambda _, i: F.getbit(F.col(column), i) == 1)
+
+    held = F.concat(*[named(n, part) for n, part in zip(names, words)])
     return merged.select(F.explode(held).alias("user_type"), "window_s", "start_time", "user_id")
 
 

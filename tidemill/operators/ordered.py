@@ -60,22 +60,22 @@ def running_sum(
     """
     hot = hot_groups(df, keys, hot_rows)
     if hot is None:
-        return _windowed(df, keys, order, value, name)
+        return windowed_sum(df, keys, order, value, name)
     ordinary, heavy = split_hot(df, keys, hot)
-    return _windowed(ordinary, keys, order, value, name).unionByName(
-        _ranged(heavy, keys, order, value, name, _partitions(df, parts))
-    )
+    return windowed_sum(ordinary, keys, order, value, name).unionByName(ranged_sum(heavy, keys, order, value, name, parts))
 
 
-def _windowed(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
+def windowed_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
+    """:func:`running_sum` with one task per key."""
     frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return df.withColumn(name, F.sum(value).over(frame))
 
 
-def _ranged(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, parts: int
+def ranged_sum(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, parts: int | None = None
 ) -> DataFrame:
-    placed = cut(df.repartitionByRange(parts, *keys, *order).withColumn("_part", F.spark_partition_id()))
+    """:func:`running_sum` with each key cut into ranges of its order."""
+    placed = cut(df.repartitionByRange(_partitions(df, parts), *keys, *order).withColumn("_part", F.spark_partition_id()))
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # One row per hot key and range it reaches: fewer than keys + ranges.
     totals = (
@@ -84,7 +84,7 @@ def _ranged(
         .withColumn("_before", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
         .drop("_sum")
     )
-    within = _windowed(placed, [*keys, "_part"], order, value, "_within")
+    within = windowed_sum(placed, [*keys, "_part"], order, value, "_within")
     same = F.col("w._part") == F.col("t._part")
     for key in keys:
         same = same & F.col(f"w.{key}").eqNullSafe(F.col(f"t.{key}"))

@@ -6,35 +6,37 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tidemill.session import cut
 
 #: A group of fewer rows is left to a single task.
 HOT_ROWS = 10_000_000
-
-
-def _parallelism(df: DataFrame) -> int:
-    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+#: Hot groups are broadcast up to this number.
+BROADCAST_ROWS = 500_000
 
 
 def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """Key groups of more than ``hot_rows`` rows as ``keys..., _splits``, None if there are none.
 
-    The counts are combined map-side, so a hot key costs nothing here. A group
-    must also exceed a quarter of an even share of all rows, so fewer than four
-    groups per shuffle partition can be hot: that many of the largest counts are
-    brought to the driver and broadcast later, whatever the size of the data.
+    The counts are combined map-side, so a hot key costs nothing here.
     """
-    most = 4 * _parallelism(df)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    largest = counts.orderBy(F.desc("_n")).limit(most).collect()
-    if not largest:
-        return None
-    share = max(hot_rows, df.count() // most)
-    hot = [(*row[:-1], min(most, -(-row["_n"] // share))) for row in largest if row["_n"] > share]
-    if not hot:
-        return None
-    fields = [*counts.drop("_n").schema.fields, T.StructField("_splits", T.IntegerType())]
-    return df.sparkSession.createDataFrame(hot, T.StructType(fields))
+    return hot_of_counts(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), keys, hot_rows)
+
+
+def hot_of_counts(counts: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """:func:`hot_groups` from counts ``keys..., _n`` that are there already.
+
+    A group gets a split for every ``hot_rows`` rows of its own, at every size of the data. The groups number at most
+    all rows / ``hot_rows``; they are written once, and joins broadcast them (see :func:`small`).
+    """
+    splits = F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_splits")
+    hot = cut(counts.where(F.col("_n") > hot_rows).select(*keys, splits))
+    return None if hot.isEmpty() else hot
+
+
+def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """A written frame, marked for broadcast if it has at most ``limit`` rows; beyond that Spark joins it as any other."""
+    return F.broadcast(df) if df.count() <= limit else df
 
 
 def _same(left: str, right: str, names: Sequence[str]) -> Column:
@@ -46,7 +48,7 @@ def _same(left: str, right: str, names: Sequence[str]) -> Column:
 
 def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(rows of other groups, rows of hot groups)``; ``hot`` comes from :func:`hot_groups`."""
-    wanted = F.broadcast(hot.drop("_splits")).alias("h")
+    wanted = small(hot.drop("_splits")).alias("h")
     same = _same("d", "h", keys)
     return df.alias("d").join(wanted, same, "left_anti"), df.alias("d").join(wanted, same, "left_semi")
 
@@ -95,7 +97,7 @@ def _salted(
     df: DataFrame, keys: Sequence[str], grid: DataFrame, ids: Sequence[str],
     own: str, other: str, own_salt: str, other_salt: str,
 ) -> DataFrame:
-    joined = df.alias("d").join(F.broadcast(grid).alias("h"), _same("d", "h", keys), "left")
+    joined = df.alias("d").join(small(grid).alias("h"), _same("d", "h", keys), "left")
     parts = F.coalesce(F.col(f"h.{own}"), F.lit(1))
     copies = F.coalesce(F.col(f"h.{other}"), F.lit(1))
     return joined.select(

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.timefn import bucket_seconds
 from tidemill.operators.aggregate import bucket_sums
-from tidemill.operators.ordered import running_sum
-from tidemill.operators.skew import HOT_ROWS
+from tidemill.operators.ordered import ranged_sum, windowed_sum
+from tidemill.operators.skew import HOT_ROWS, hot_of_counts, small, split_hot
+from tidemill.session import cut
 
 
 def check_widths(window: int, width: int) -> None:
@@ -36,15 +37,16 @@ def sliding_running_sum(
 ) -> DataFrame:
     """Add the sliding sum after each event, events taken in (time, tie-break) order.
 
-    Earlier buckets come from one row per (key, bucket); the own bucket is a
-    running sum inside (key, bucket), which splits even a hot one. Both are
-    partitioned by (key, bucket), so the events are shuffled once.
+    Earlier buckets come from one row per (key, bucket), written with its count in a first pass; the own bucket is a
+    running sum inside (key, bucket). Both are partitioned by (key, bucket), so the events are shuffled once. Buckets of
+    more than ``hot_rows`` rows go another way: ranges of their order, with the earlier sums joined inside each range,
+    so nothing brings such a bucket together.
     """
     check_widths(window, width)
     whole, rest = divmod(window, width)
     # A struct is never NULL, so events without a key join by plain equality too.
     events = df.withColumn("_k", F.struct(key)).withColumn("_b", bucket_seconds(F.col(ts), width))
-    sums = events.groupBy("_k", "_b").agg(F.sum(value).alias("_s"))
+    sums = cut(events.groupBy("_k", "_b").agg(F.sum(value).alias("_s"), F.count(F.lit(1)).alias("_n")))
 
     def before(buckets: int):
         """Sum of that many buckets just before this one."""
@@ -54,15 +56,24 @@ def sliding_running_sum(
         return F.coalesce(F.sum("_s").over(frame), F.lit(0))
 
     earlier = sums.select("_k", "_b", before(whole - 1).alias("_short"), before(whole).alias("_long"))
-    running = running_sum(events, ["_k", "_b"], [ts, *tie_break], value, "_own", hot_rows)
     offset = F.unix_timestamp(F.col(f"e.{ts}")) - F.col("e._b")
     before_own = F.when(offset >= rest, F.col("_short")).otherwise(F.col("_long"))
     total = F.col("_own") + F.coalesce(before_own, F.lit(0))
     same = (F.col("e._k") == F.col("p._k")) & (F.col("e._b") == F.col("p._b"))
-    return (
-        running.alias("e")
-        .join(earlier.alias("p"), same, "left")
-        .select(*[F.col(f"e.{c}") for c in df.columns], total.cast("bigint").alias(name))
+
+    def added(running: DataFrame, before_it: DataFrame) -> DataFrame:
+        return running.alias("e").join(before_it.alias("p"), same, "left").select(
+            *[F.col(f"e.{c}") for c in df.columns], total.cast("bigint").alias(name)
+        )
+
+    keys, order = ["_k", "_b"], [ts, *tie_break]
+    hot = hot_of_counts(sums, keys, hot_rows)
+    if hot is None:
+        return added(windowed_sum(events, keys, order, value, "_own"), earlier)
+    ordinary, heavy = split_hot(events, keys, hot)
+    earlier_of_hot = cut(split_hot(earlier, keys, hot)[1])  # a row per hot bucket
+    return added(windowed_sum(ordinary, keys, order, value, "_own"), earlier).unionByName(
+        added(ranged_sum(heavy, keys, order, value, "_own"), small(earlier_of_hot))
     )
 
 
