@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.plans import feeds, relational, streamed, timed
+from tidemill.plans import feeds, relational, roundtrips, streamed, timed
 
-_ALL = {**feeds.QUERIES, **relational.QUERIES, **timed.QUERIES, **streamed.QUERIES}
+_ALL = {**feeds.QUERIES, **relational.QUERIES, **timed.QUERIES, **streamed.QUERIES, **roundtrips.QUERIES}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

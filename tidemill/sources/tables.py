@@ -45,6 +45,9 @@ def catalog_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def save_as_table(df: DataFrame, name: str, mode: str = "errorifexists") -> None:
-    """Managed parquet table; fails if it exists unless ``mode`` says otherwise."""
-    df.write.mode(mode).format("parquet").saveAsTable(name)
+def save_as_table(df: DataFrame, name: str, mode: str = "errorifexists", path: str | None = None) -> None:
+    """Parquet table of the catalog, managed unless ``path`` is given; fails if it exists unless ``mode`` says otherwise."""
+    writer = df.write.mode(mode).format("parquet")
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
