@@ -64,8 +64,24 @@ def test_table_step(spark, tmp_path, before, events, output, after):
         job.process(batch, 0)
         rows = job.output.all().orderBy("timestamp").collect()
         assert [r.running_sum for r in rows] == output
-        state = job.state.read(0).orderBy("bucket_s").collect()
-        assert [(r.bucket_s, r.bucket_sum) for r in state] == [(bucket(b), s) for b, s in after]
+        seen = [(bucket(b), s) for b, s in after]  # what the next event in the last bucket can see
+        state = job.buckets(1, seen[0][0], seen[-1][0]).orderBy("bucket_s").collect()
+        assert [(r.bucket_s, r.bucket_sum) for r in state] == seen
+
+
+def test_table_drops_late_rows_and_leaves_idle_days(spark, tmp_path):
+    job = SlidingSumTable(spark, str(tmp_path), 3600, 1800)
+    parts = [[("1", at("01:00:00"), 5, 0)], [("1", at("00:59:59"), 7, 1), ("1", None, 9, 2)], [("1", at("01:00:01"), 1, 3)], []]
+    for number, part in enumerate(parts):
+        job.process(spark.createDataFrame(part, SCHEMA), number)
+    assert sorted(r.running_sum for r in job.output.all().collect()) == [5, 6]
+    month_on = at("01:00:00") + dt.timedelta(days=30)
+    for number, hour in ((4, 0), (5, 1)):
+        job.process(spark.createDataFrame([("2", month_on + dt.timedelta(hours=hour), 1, 9)], SCHEMA), number)
+    assert job.state.read(5).count() == 1  # a batch writes its own buckets, not those of idle keys
+    second = int((month_on - dt.datetime(1970, 1, 1)).total_seconds())
+    plan = job.buckets(6, second, second)._jdf.queryExecution().toString()
+    assert "bucket_day" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
 def step_by_step(events, window, width):

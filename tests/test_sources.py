@@ -1,17 +1,20 @@
 import datetime as dt
 import json
+import random
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tidemill.session import scratch_path, shared_dir
 from tidemill.sources import envelope as env
 from tidemill.sources import jdbc, sinks
 from tidemill.sources.batches import BatchFolder
+from tidemill.sources.changelog import ChangeLog
 from tidemill.sources.generate import number_range
-from tidemill.sources.snapshot import SnapshotTable
 from tidemill.sources.tables import catalog_table, save_as_table
-from tidemill.operators import changes
+from tidemill.operators.changes import merge_changes
+from tidemill.operators.latest import newest_per_key
 
 DERBY = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
 
@@ -115,76 +118,54 @@ def test_jdbc_predicates_query_and_first_row(spark, database):
     assert jdbc.first_row(spark, database, "SELECT NAME FROM ITEMS", "NAME", DERBY).first().NAME == "n0"
 
 
-def test_snapshot_versions(spark, tmp_path):
-    table = SnapshotTable(spark, str(tmp_path / "t"), ["id"], buckets=4)
-    assert table.latest_version() is None
-    with pytest.raises(ValueError):
-        table.read()
-    ids = spark.range(5)
-    table.write(ids)
-    table.write(spark.range(5, 10))
-    table.write(changes.update_where(table.read(), F.expr("id % 2 = 0"), {"id": F.col("id") + 100}))
-    def content(v=None):
-        return sorted(r.id for r in table.read(v).collect())
-    assert content(0) == [0, 1, 2, 3, 4] and content(1) == [5, 6, 7, 8, 9] and content() == [5, 7, 9, 106, 108]
-    with pytest.raises(ValueError):
-        table.read(9)
-
-
-def test_snapshot_ignores_half_written_version(spark, tmp_path):
-    table = SnapshotTable(spark, str(tmp_path / "t"), ["id"], buckets=4)
-    table.write(spark.range(3))
-    spark.range(9).withColumn("bucket", F.lit(1)).write.partitionBy("bucket").parquet(str(tmp_path / "t/data/version=1"))
-    assert table.versions() == [0]
-    table.write(spark.range(2))
-    assert sorted(r.id for r in table.read().collect()) == [0, 1]
-
-
-def test_snapshot_rewrites_touched_buckets_only(spark, tmp_path):
-    table = SnapshotTable(spark, str(tmp_path / "t"), ["id"], buckets=8)
-    table.write(spark.range(200).withColumn("v", F.lit(0)))
-    change = spark.createDataFrame([(7, "U", 1, 1), (7, "U", 2, 2)], "id bigint, oc string, v int, seq int")
-    changes.apply_changes(table, change, ["seq"], batch_id=5)
-    assert (tmp_path / "t/data/version=1").exists() and len(list((tmp_path / "t/data/version=1").glob("bucket=*"))) == 1
-    assert table.read().count() == 200 and table.read().where("v = 2").first().id == 7
-    assert changes.apply_changes(table, change, ["seq"], batch_id=5) == 1  # replay
-    assert changes.apply_changes(table, change, ["seq"], batch_id=4) == 1
-    gone = spark.createDataFrame([(i, "D", 0, 0) for i in range(200)], "id bigint, oc string, v int, seq int")
-    changes.apply_changes(table, gone, ["seq"], batch_id=6)
-    assert table.read().count() == 0 and table.read().columns == ["id", "v"]
-    assert table.read(0).count() == 200
-
-
-def test_empty_change_set_and_changed_table_kept(spark, tmp_path):
-    table = SnapshotTable(spark, str(tmp_path / "t"), ["id"], buckets=4)
-    table.write(spark.range(10).withColumn("v", F.lit(1)))
-    none = spark.createDataFrame([], "id bigint, oc string, v int, seq int")
-    changes.apply_changes(table, none, ["seq"], batch_id=0)
-    assert table.latest_version() == 1 and table.read().count() == 10 and table.last_batch() == 0
+def test_change_log_versions_and_replays(spark, tmp_path):
+    log = ChangeLog(spark.range(200).withColumn("v", F.lit(0)), str(tmp_path / "t"), ["id"])
+    assert log.read().count() == 200
+    schema = "id bigint, oc string, v int, seq int"
+    for _ in range(2):
+        log.append(spark.createDataFrame([(7, "U", 1, 1), (7, "U", 2, 2)], schema), ["seq"], 0)
+    log.append(spark.createDataFrame([], schema), ["seq"], 1)
+    assert log.read(1).where("v = 2").first().id == 7 and log.read(1).count() == 200
+    log.append(spark.createDataFrame([(i, "D", 0, 0) for i in range(200)], schema), ["seq"], 2)
+    assert log.read().count() == 0 and log.read().columns == ["id", "v"]
+    assert log.read(-1).where("v = 0").count() == 200 and log.read(0).where("v = 2").count() == 1
+
+
+def test_change_log_equals_merging_batch_by_batch(spark, tmp_path):
+    rng = random.Random(5)
+    table = spark.createDataFrame([(i, f"base{i}") for i in range(0, 60, 2)], "id bigint, v string")
+    log = ChangeLog(table, str(tmp_path / "t"), ["id"])
+    for batch in range(6):
+        rows = [(rng.randrange(60), rng.choice(["I", "I", "U", "D", None]), f"b{batch}-{n}", n) for n in range(50)]
+        part = spark.createDataFrame(rows, "id bigint, oc string, v string, seq int")
+        log.append(part, ["seq"], batch)
+        merged = merge_changes(table, newest_per_key(part, ["id"], ["seq"]), ["id"])
+        table = spark.createDataFrame(merged.collect(), "id bigint, v string")
+        assert sorted(map(tuple, log.read().collect())) == sorted(map(tuple, table.collect()))
+
+
+def test_change_log_casts_keys_and_fills_missing_columns(spark, tmp_path):
+    log = ChangeLog(spark.range(200).selectExpr("id", "'a' AS v"), str(tmp_path / "t"), ["id"])
+    log.append(spark.createDataFrame([(i, "b", "U", i) for i in range(5)], "id int, v string, oc string, nr int"), ["nr"], 0)
+    log.append(spark.createDataFrame([(9, "U", 1)], "id int, oc string, nr int"), ["nr"], 1)
+    rows = {r.id: r.v for r in log.read().collect()}
+    assert len(rows) == 200 and [rows[i] for i in range(6)] == ["b"] * 5 + ["a"] and rows[9] is None
 
 
 def test_batch_folder(spark, tmp_path):
     folder = BatchFolder(spark, str(tmp_path / "b"), "id bigint")
-    assert folder.before(0).count() == 0 and folder.all().count() == 0
+    assert folder.previous(0).count() == 0 and folder.all().count() == 0
     folder.write(0, spark.range(2))
     folder.write(1, spark.range(3))
     folder.write(1, spark.range(4))
-    assert folder.batches() == [0, 1] and folder.before(1).count() == 2 and folder.all().count() == 6
+    assert folder.previous(1).count() == 2 and folder.all().count() == 6
+    assert sorted((r.batch, r.id) for r in folder.rows().where("batch = 0").collect()) == [(0, 0), (0, 1)]
+    with pytest.raises(AnalysisException):
+        folder.read(5)
+    with pytest.raises(ValueError):
+        BatchFolder(spark, str(tmp_path / "c"), "batch bigint")
 
 
 def test_shared_dir_follows_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(shared_dir(spark)) and scratch_path(spark, "x") != scratch_path(spark, "x")
-
-
-def test_change_keys_of_another_type_and_kept_batch_ids(spark, tmp_path):
-    from tidemill.operators.changes import apply_changes
-    from tidemill.sources.snapshot import SnapshotTable
-
-    table = SnapshotTable(spark, str(tmp_path / "t"), ["id"])
-    table.write(spark.range(200).selectExpr("id", "'a' AS v"), batch_id=3)
-    changes = spark.createDataFrame([(i, "b", "U", i) for i in range(5)], "id int, v string, oc string, nr int")
-    apply_changes(table, changes, ["nr"])
-    rows = {r.id: r.v for r in table.read().collect()}
-    assert len(rows) == 200 and [rows[i] for i in range(6)] == ["b"] * 5 + ["a"]
-    assert table.last_batch() == 3

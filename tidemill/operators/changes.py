@@ -1,18 +1,15 @@
 """Changes to a table: conditional update and delete, upsert, change-feed merge.
 
-Each returns the table's new content; :class:`SnapshotTable` makes it a version.
+Each returns the table's new content.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.operators.latest import newest_per_key
-from tidemill.sources.snapshot import SnapshotTable
-
 
 def update_where(df: DataFrame, condition: Column, assignments: Mapping[str, Column]) -> DataFrame:
     """Set columns on the rows for which the condition is true."""
@@ -85,23 +82,30 @@ def merge_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str], op
     return t.join(s, _key_match(keys), "full_outer").where(keep).select(*_pick(target, changes, from_source))
 
 
-def apply_changes(
-    table: SnapshotTable, changes: DataFrame, order: Sequence[str], op: str = "oc", batch_id: int | None = None
-) -> int:
-    """Merge the newest change per key into a versioned table, rewriting only the buckets they touch.
+def effective_changes(log: DataFrame, keys: Sequence[str], batch: str, op: str = "oc") -> DataFrame:
+    """One change per key that does to a table what merging its changes in order of ``batch`` would do.
 
-    A batch id seen before changes nothing. Keys are cast to the table's types first, else they would fall into
-    other buckets.
+    ``log`` has at most one row per key and batch. A D or U settles a key whatever came before; of the changes after
+    it only the first can insert, and only after a D. Rows without op change nothing. One shuffle, by the keys.
     """
-    types = {f.name: f.dataType for f in table.read(buckets=[]).schema.fields}
-    changes = changes.withColumns({k: changes[k].cast(types[k]) for k in table.keys})
-    done = table.last_batch() if batch_id is not None else None
-    if done is not None and batch_id <= done:
-        return table.latest_version()
-    newest = newest_per_key(changes, table.keys, order).persist()  # used for the bucket numbers and the merge
-    try:
-        touched = table.touched_buckets(newest)
-        merged = merge_changes(table.read(buckets=touched), newest, table.keys, op)
-        return table.write(merged, batch_id, only_buckets=touched)
-    finally:
-        newest.unpersist()
+    settles = F.col(op).isin("D", "U")
+    after = Window.partitionBy(*keys).orderBy(F.desc(batch)).rowsBetween(Window.unboundedPreceding, -1)
+    rest = [c for c in log.columns if c not in (*keys, batch)]
+    row = F.struct(*rest)
+    by_key = (
+        log.where(F.col(op).isNotNull())
+        .withColumn("_settled_later", F.coalesce(F.max(settles).over(after), F.lit(False)))
+        .where(~F.col("_settled_later"))
+        .groupBy(*keys)
+        .agg(
+            F.max_by(F.when(settles, row), F.when(settles, F.col(batch))).alias("_settled"),
+            F.min_by(F.when(~settles, row), F.when(~settles, F.col(batch))).alias("_insert"),
+        )
+    )
+    settled, insert = F.col("_settled"), F.col("_insert")
+    inserts = insert.isNotNull() & (settled.isNull() | (settled[op] == "D"))
+    picked = by_key.select(*keys, F.when(inserts, insert).otherwise(settled).alias("_row"), (inserts & settled.isNotNull()).alias("_anew"))
+    return picked.select(*keys, *[
+        F.when(F.col("_anew"), F.lit("U")).otherwise(F.col(f"_row.{c}")).alias(c) if c == op else F.col(f"_row.{c}").alias(c)
+        for c in rest
+    ])

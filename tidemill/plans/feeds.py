@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.functions import parse, predicates, timefn
-from tidemill.operators.changes import apply_changes, merge_changes
+from tidemill.operators.changes import merge_changes
 from tidemill.operators.control import control_actions, control_rejects
 from tidemill.operators.latest import newest_per_key
 from tidemill.operators.progress import progress_table
@@ -14,7 +14,7 @@ from tidemill.plans import inputs
 from tidemill.schemas import EMPLOYEE
 from tidemill.session import scratch_path
 from tidemill.sources import envelope as env
-from tidemill.sources.snapshot import SnapshotTable
+from tidemill.sources.changelog import ChangeLog
 from tidemill.sources.tables import raw_table, table, zoneless
 
 ORDER_KEY = T.StructType([T.StructField("o_orderkey", T.LongType())])
@@ -39,13 +39,12 @@ def cdc_merge(spark, folder):
 
 
 def cdc_merge_versions(spark, folder):
-    """The same merge as a new version of a stored table; the replayed batch changes nothing."""
-    stored = SnapshotTable(spark, scratch_path(spark, "orders"), ["o_orderkey"])
-    stored.write(inputs.order_target(spark, folder))
+    """The same merge read from a change log; the repeated batch replaces its own changes."""
+    log = ChangeLog(inputs.order_target(spark, folder), scratch_path(spark, "orders"), ["o_orderkey"])
     changes = _order_rows(spark, folder)
-    apply_changes(stored, changes, POSITION, batch_id=0)
-    apply_changes(stored, changes, POSITION, batch_id=0)
-    return stored.read()
+    log.append(changes, POSITION, 0)
+    log.append(changes, POSITION, 0)
+    return log.read()
 
 
 _CHANGES = """
@@ -169,9 +168,9 @@ def json_lenient(spark, folder):
 
 
 def json_reject_split(spark, folder):
-    good, bad = parse.split_rejects(_employee_texts(spark, folder), "value", EMPLOYEE, ["emp_id"])
-    kept = good.select("event_id", F.col("record.emp_id").alias("emp_id"), F.lit(None).cast("string").alias("dead_letter"))
-    return kept.unionByName(bad.select("event_id", F.lit(None).cast("int").alias("emp_id"), "dead_letter"))
+    """Good and rejected records in one frame, from one scan."""
+    marked = parse.marked_rejects(_employee_texts(spark, folder), "value", EMPLOYEE, ["emp_id"])
+    return marked.select("event_id", F.col("record.emp_id").alias("emp_id"), "dead_letter")
 
 
 def line_records(spark, folder):

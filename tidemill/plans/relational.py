@@ -10,7 +10,7 @@ from tidemill.operators.ordered import ordered_index
 from tidemill.plans.inputs import cents, events
 from tidemill.session import scratch_path
 from tidemill.sources.generate import number_range
-from tidemill.sources.snapshot import SnapshotTable
+from tidemill.sources.changelog import ChangeLog
 from tidemill.sources.tables import raw_table, table, zoneless
 
 # -- words -------------------------------------------------------------------
@@ -256,12 +256,14 @@ def table_upsert(spark, folder):
 
 
 def table_version(spark, folder):
-    """Three versions of a table read back: as written, updated, then with even keys deleted."""
-    stored = SnapshotTable(spark, scratch_path(spark, "parts"), ["p_partkey"])
-    stored.write(_parts(spark, folder))
-    stored.write(changes.update_where(stored.read(), _even(), {"p_size": F.col("p_size") + 100}))
-    stored.write(changes.delete_where(stored.read(), _even()))
-    versions = [stored.read(v).withColumn("version", F.lit(v)) for v in stored.versions()]
+    """Three versions of a table read from its log: as it began, updated, then with even keys deleted."""
+    parts = _parts(spark, folder)
+    log = ChangeLog(parts, scratch_path(spark, "parts"), ["p_partkey"])
+    even = parts.where(_even())
+    larger = changes.update_where(even, _even(), {"p_size": F.col("p_size") + 100})
+    log.append(larger.withColumn("oc", F.lit("U")), ["p_partkey"], 0)
+    log.append(even.select("p_partkey", F.lit("D").alias("oc")), ["p_partkey"], 1)
+    versions = [log.read(v - 1).withColumn("version", F.lit(v)) for v in range(3)]
     return versions[0].unionByName(versions[1]).unionByName(versions[2])
 
 

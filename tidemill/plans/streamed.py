@@ -16,7 +16,7 @@ from tidemill.operators.joins import with_static
 from tidemill.operators.latest import newest_per_key
 from tidemill.plans import feeds, inputs, relational, timed
 from tidemill.session import scratch_path, use_rocksdb
-from tidemill.sources.snapshot import SnapshotTable
+from tidemill.sources.changelog import ChangeLog
 from tidemill.sources.tables import raw_table, table, zoned, zoneless
 from tidemill.streaming import flows, idle, sinks
 from tidemill.streaming import tables as jobs
@@ -248,8 +248,7 @@ def stream_window_metrics(spark, folder):
 
 def stream_cdc_merge(spark, folder):
     base = scratch_path(spark, "cdc")
-    stored = SnapshotTable(spark, f"{base}/orders", ["o_orderkey"])
-    stored.write(inputs.order_target(spark, folder))
+    stored = ChangeLog(inputs.order_target(spark, folder), f"{base}/orders", ["o_orderkey"])
     job = jobs.CdcMerge({inputs.NAMESPACE: jobs.CdcTarget(stored, feeds.ORDER_KEY, feeds.ORDER_VALUE)})
     feed = Feed(spark, folder, "orders", "o_orderkey")
     _run(feed, inputs.order_changes_of(feed.stream()), job.process, base)
@@ -258,11 +257,11 @@ def stream_cdc_merge(spark, folder):
 
 def stream_latest_map_table(spark, folder):
     base = scratch_path(spark, "map")
-    stored = SnapshotTable(spark, f"{base}/map", ["user_id"])
-    job = jobs.LatestMap(stored, "cents", ["ts", "event_id"])
     feed = Events(spark, folder)
+    fields = feed.stream().select("user_id", "cents").schema
+    job = jobs.LatestMap(spark, f"{base}/map", fields, "user_id", "cents", ["ts", "event_id"])
     _run(feed, feed.stream().select("user_id", "cents", "ts", "event_id"), job.process, base)
-    return stored.read()
+    return job.read()
 
 
 def stream_time_clusters(spark, folder):

@@ -2,42 +2,47 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 class BatchFolder:
-    """Parquet folders ``batch=N`` under a path; a batch that comes again replaces its own folder.
+    """An ordinary parquet table in folders ``batch=N``; a batch that comes again replaces its own folder.
 
-    The ``_SUCCESS`` file is the commit: a half-written folder does not count.
+    ``folders`` are columns that make folders inside a batch, for filters that need not read the rest.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: str):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-
-    def _folder(self, batch_id: int) -> str:
-        return f"{self.path}/batch={batch_id}"
-
-    def batches(self) -> list[int]:
-        """Committed batch ids in order."""
-        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/batch=*/_SUCCESS")
-        file_system = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        found = file_system.globStatus(pattern) or []
-        return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found)
+    def __init__(self, spark: SparkSession, path: str, schema: str | T.StructType, folders: Sequence[str] = ()):
+        self.spark, self.path, self.folders = spark, path.rstrip("/"), list(folders)
+        self.schema = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+        if "batch" in self.schema.names:
+            raise ValueError("a column named batch would clash with the folders")
 
     def write(self, batch_id: int, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(self._folder(batch_id))
+        writer = df.select(self.schema.names).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy(*self.folders).parquet(f"{self.path}/batch={batch_id}")
 
     def read(self, batch_id: int) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(self._folder(batch_id))
-
-    def before(self, batch_id: int) -> DataFrame:
-        """The newest batch below ``batch_id``, an empty frame if there is none."""
-        earlier = [b for b in self.batches() if b < batch_id]
-        return self.read(earlier[-1]) if earlier else self.spark.createDataFrame([], self.schema)
+        """Rows of one batch; an error if it was never written."""
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/batch={batch_id}")
+
+    def previous(self, batch_id: int) -> DataFrame:
+        """Rows of the batch before, none ahead of batch 0: Spark numbers the batches of a checkpoint without gaps."""
+        return self.read(batch_id - 1) if batch_id > 0 else self.spark.createDataFrame([], self.schema)
+
+    def rows(self) -> DataFrame:
+        """Rows of all batches with their ``batch``; none if nothing was written yet."""
+        schema = T.StructType([*self.schema.fields, T.StructField("batch", T.LongType())])
+        try:
+            return self.spark.read.schema(schema).parquet(self.path)
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
 
     def all(self) -> DataFrame:
-        """Rows of all committed batches."""
-        done = self.batches()
-        if not done:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*[self._folder(b) for b in done])
+        """Rows of all batches."""
+        return self.rows().drop("batch")

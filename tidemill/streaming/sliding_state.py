@@ -1,9 +1,10 @@
 """Sliding sum per event with state kept across micro-batches.
 
-Two forms with the same results. :func:`sliding_sum_stream` keeps the buckets of a
-key in Spark's state store. :class:`SlidingSumTable` keeps them as rows of a table
-per batch and runs the table operator, which also splits a key that fills most of
-a batch over many tasks.
+Two forms. :func:`sliding_sum_stream` keeps the buckets of a key in Spark's state
+store. :class:`SlidingSumTable` keeps what each batch added to the buckets as rows of
+a table and runs the table operator, which also splits a key that fills most of a
+batch over many tasks. Without a delay they give the same sums; with one, a row out of
+order may see buckets in the table that the state store has dropped.
 
 For a batch sorted by time the sum after event i is the sum of all buckets, kept
 or from this batch up to i, whose start lies in ``(bucket(t_i - window), bucket(t_i)]``.
@@ -140,52 +141,68 @@ def sliding_sum_stream(
 
 
 class SlidingSumTable:
-    """``foreachBatch`` form: buckets are rows ``id, bucket_s, bucket_sum`` of one state folder per batch."""
+    """``foreachBatch`` form: each batch writes what it adds to the buckets, in folders of the bucket's day.
 
-    _STATE = "id string, bucket_s bigint, bucket_sum bigint"
+    A batch reads the days its windows reach and no others, so neither idle keys nor old days cost anything. As in the
+    stream, rows not newer than the newest one of the batches before, less ``delay`` seconds, are dropped, and so
+    are rows without a time.
+    """
+
+    _STATE = "id string, bucket_s bigint, bucket_sum bigint, bucket_day bigint"
+    _DAY = 86_400
 
-    def __init__(self, spark: SparkSession, path: str, window: int, width: int, hot_rows: int = HOT_ROWS):
+    def __init__(self, spark: SparkSession, path: str, window: int, width: int, hot_rows: int = HOT_ROWS, delay: int = 0):
         check_widths(window, width)
-        self.window, self.width, self.hot_rows = window, width, hot_rows
-        self.state = BatchFolder(spark, f"{path}/state", self._STATE)
+        self.window, self.width, self.hot_rows, self.delay = window, width, hot_rows, delay
+        self.state = BatchFolder(spark, f"{path}/state", self._STATE, ["bucket_day"])
+        self.newest = BatchFolder(spark, f"{path}/newest", "micros bigint")
         self.output = BatchFolder(spark, f"{path}/output", OUTPUT)
 
     def bootstrap(self, initial: DataFrame) -> None:
         """Start from ``id, bucket_start, bucket_sum`` rows."""
-        self.state.write(-1, initial.select("id", F.unix_timestamp("bucket_start").alias("bucket_s"), "bucket_sum"))
+        self._add(-1, initial.select("id", F.unix_timestamp("bucket_start").alias("bucket_s"), "bucket_sum"))
+
+    def _add(self, batch_id: int, sums: DataFrame) -> None:
+        self.state.write(batch_id, sums.withColumn("bucket_day", F.floor(F.col("bucket_s") / self._DAY)))
+
+    def buckets(self, batch_id: int, first: int, last: int) -> DataFrame:
+        """``id, bucket_s, bucket_sum`` of the buckets from ``first`` to ``last`` as batch ``batch_id`` finds them."""
+        added = self.state.rows().where(
+            (F.col("batch") < batch_id) & F.col("bucket_day").between(first // self._DAY, last // self._DAY)
+            & F.col("bucket_s").between(first, last)
+        )
+        return added.groupBy("id", "bucket_s").agg(F.sum("bucket_sum").alias("bucket_sum"))
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """Handle one micro-batch of ``id, timestamp, value, tie``; a repeated batch overwrites its own output."""
-        batch.persist()
+        micros = F.unix_micros("timestamp")
+        mark = self.newest.previous(batch_id)
+        before = mark.agg(F.max("micros")).first()[0]
+        on_time = batch.where(F.col("timestamp").isNotNull())
+        if before is not None:
+            on_time = on_time.where(micros > before // 1000 * 1000 - self.delay * _MICROS)
+        now = on_time.select("id", "timestamp", F.col("value").cast("bigint").alias("value"),
+                             F.col("tie").cast("bigint").alias("tie"), F.lit(False).alias("past")).persist()
         try:
-            kept = self.state.before(batch_id)
+            low, high = now.agg(F.min(micros), F.max(micros)).first()
+            first, last = 0, -1  # an empty batch reaches no bucket
+            if low is not None:
+                first = (low // _MICROS - self.window) // self.width * self.width + self.width
+                last = high // _MICROS // self.width * self.width
             # A kept bucket acts as an event at its start, ahead of all others there.
-            past = kept.select(
+            past = self.buckets(batch_id, first, last).select(
                 "id", F.timestamp_seconds("bucket_s").alias("timestamp"),
                 F.col("bucket_sum").alias("value"), F.lit(None).cast("bigint").alias("tie"), F.lit(True).alias("past"),
             )
-            now = batch.select("id", "timestamp", F.col("value").cast("bigint").alias("value"),
-                               F.col("tie").cast("bigint").alias("tie"), F.lit(False).alias("past"))
             touched = past.join(now.select("id").distinct(), "id", "left_semi")
             summed = sliding_running_sum(
                 touched.unionByName(now), "id", "timestamp", "value", ["tie"], self.window, self.width,
                 hot_rows=self.hot_rows,
             )
             self.output.write(batch_id, summed.where(~F.col("past")).select("id", "timestamp", "running_sum"))
-            self.state.write(batch_id, self._next_state(kept, batch))
+            own = now.groupBy("id", bucket_seconds(F.col("timestamp"), self.width).alias("bucket_s"))
+            self._add(batch_id, own.agg(F.sum("value").alias("bucket_sum")))
+            newest = now.select(micros.alias("micros")).unionByName(mark)
+            self.newest.write(batch_id, newest.agg(F.max("micros").alias("micros")))
         finally:
-            batch.unpersist()
-
-    def _next_state(self, kept: DataFrame, batch: DataFrame) -> DataFrame:
-        seconds = F.unix_timestamp("timestamp")
-        fresh = batch.groupBy("id", bucket_seconds(F.col("timestamp"), self.width).alias("bucket_s")).agg(
-            F.sum(F.col("value").cast("bigint")).alias("bucket_sum")
-        )
-        floor = F.max(seconds) - self.window
-        floors = batch.groupBy("id").agg((floor - F.pmod(floor, F.lit(self.width))).alias("floor"))
-        merged = kept.unionByName(fresh).groupBy("id", "bucket_s").agg(F.sum("bucket_sum").alias("bucket_sum"))
-        return (
-            merged.join(floors, "id", "left")
-            .where(F.col("floor").isNull() | (F.col("bucket_s") > F.col("floor")))
-            .drop("floor")
-        )
+            now.unpersist()

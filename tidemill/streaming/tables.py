@@ -1,4 +1,4 @@
-"""Streams that keep their state in tables, one version per micro-batch."""
+"""Streams that keep their state in tables, one folder per micro-batch."""
 
 from __future__ import annotations
 
@@ -12,35 +12,34 @@ from pyspark.sql import types as T
 from tidemill.functions.parse import cdc_records, cdc_rows
 from tidemill.functions.predicates import Segment
 from tidemill.operators import distinct
-from tidemill.operators.changes import apply_changes
 from tidemill.operators.cluster import time_ranges
-from tidemill.operators.latest import merge_latest_map, newest_per_key
+from tidemill.operators.latest import newest_per_key
 from tidemill.sources.batches import BatchFolder
-from tidemill.sources.snapshot import SnapshotTable
+from tidemill.sources.changelog import ChangeLog
 
 
 @dataclass(frozen=True)
 class CdcTarget:
     """Where the changes of one namespace go, and how its key and value texts read."""
 
-    table: SnapshotTable
+    table: ChangeLog
     key_schema: T.StructType
     value_schema: T.StructType
 
 
 class CdcMerge:
-    """Merges a change feed into versioned tables."""
+    """Logs the changes of a feed to tables; reading a table merges them."""
 
     def __init__(self, targets: Mapping[str, CdcTarget]):
         self.targets = dict(targets)
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        """Apply one micro-batch of envelope records; the batch id makes a repeat harmless."""
+        """Log one micro-batch of envelope records; a repeat replaces its own changes."""
         records = cdc_records(batch).persist()
         try:
             for namespace, target in self.targets.items():
                 rows = cdc_rows(records, namespace, target.key_schema, target.value_schema)
-                apply_changes(target.table, rows, ["timestamp", "partition", "offset"], batch_id=batch_id)
+                target.table.append(rows, ["timestamp", "partition", "offset"], batch_id)
         finally:
             records.unpersist()
 
@@ -66,7 +65,7 @@ class DistinctCounts:
         self.metrics = BatchFolder(spark, f"{path}/metrics", self._METRICS)
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        kept = self.state.before(batch_id)
+        kept = self.state.previous(batch_id)
         new = distinct.segment_users(batch, self.segments, self.widths, self.ts, self.user)
         on_time = distinct.drop_behind(new, distinct.latest_windows(kept))
         merged = distinct.merge_users(on_time, kept).persist()
@@ -82,29 +81,24 @@ class DistinctCounts:
 
 
 class LatestMap:
-    """Latest value per key over micro-batches, a new table version each batch."""
+    """Latest value per key over micro-batches; each batch adds the newest values it brought."""
 
-    def __init__(self, table: SnapshotTable, value: str, order: Sequence[str]):
-        self.table, self.value, self.order = table, value, list(order)
+    def __init__(self, spark: SparkSession, path: str, fields: T.StructType, key: str, value: str, order: Sequence[str]):
+        self.key, self.value, self.order = key, value, list(order)
+        self.updates = BatchFolder(spark, path, fields)
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        """Merge a micro-batch; only the buckets of its keys are rewritten."""
-        done = self.table.last_batch()
-        if done is not None and batch_id <= done:
-            return
-        key = self.table.keys[0]
-        batch.persist()
-        try:
-            rows = batch.select(key, self.value, *self.order)
-            updates = newest_per_key(rows, [key], self.order).select(key, self.value)
-            if self.table.latest_version() is None:
-                self.table.write(updates, batch_id)
-                return
-            touched = self.table.touched_buckets(batch)
-            merged = merge_latest_map(self.table.read(buckets=touched), updates, key, self.value)
-            self.table.write(merged, batch_id, only_buckets=touched)
-        finally:
-            batch.unpersist()
+        """Write a micro-batch's newest value per key; a repeated batch replaces its own."""
+        rows = batch.select(self.key, self.value, *self.order)
+        self.updates.write(batch_id, newest_per_key(rows, [self.key], self.order).select(self.key, self.value))
+
+    def read(self, last: int | None = None) -> DataFrame:
+        """The map after batch ``last``, all batches by default: a later value wins, but NULL only if there is no other."""
+        rows = self.updates.rows()
+        if last is not None:
+            rows = rows.where(F.col("batch") <= last)
+        known = F.when(F.col(self.value).isNotNull(), F.col("batch"))
+        return rows.groupBy(self.key).agg(F.max_by(self.value, known).alias(self.value))
 
 
 class TimeClusters:
