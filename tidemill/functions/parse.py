@@ -131,29 +131,35 @@ def dead_letter(orig_request: Column, failed_reason: Column) -> Column:
     return F.to_json(F.struct(orig_request.alias("orig_request"), failed_reason.alias("failed_reason")))
 
 
+def marked_incomplete(df: DataFrame, text: str, required: Sequence[str]) -> DataFrame:
+    """All rows with a ``dead_letter`` made of their text where a required column is missing, else NULL."""
+    missing = F.array_compact(F.array(*[F.when(F.col(name).isNull(), F.lit(name.split(".")[-1])) for name in required]))
+    reason = F.concat(F.lit("missing or invalid: "), F.concat_ws(", ", missing))
+    return df.withColumn("dead_letter", F.when(F.size(missing) > 0, dead_letter(F.col(text), reason)))
+
+
 def split_incomplete(df: DataFrame, text: str, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows with all required columns, and the others with a ``dead_letter`` made of their text."""
-    missing = F.filter(
-        F.array(*[F.when(F.col(name).isNull(), F.lit(name.split(".")[-1])) for name in required]),
-        lambda name: name.isNotNull(),
-    )
-    checked = df.withColumn("_missing", missing)
-    reason = F.concat(F.lit("missing or invalid: "), F.concat_ws(", ", "_missing"))
-    good = checked.where(F.size("_missing") == 0).drop("_missing")
-    bad = checked.where(F.size("_missing") > 0).withColumn("dead_letter", dead_letter(F.col(text), reason))
-    return good, bad.drop("_missing")
+    marked = marked_incomplete(df, text, required)
+    return marked.where(F.col("dead_letter").isNull()).drop("dead_letter"), marked.where(F.col("dead_letter").isNotNull())
 
 
-def split_rejects(
-    df: DataFrame, text: str, schema: T.StructType, required: Sequence[str]
-) -> tuple[DataFrame, DataFrame]:
-    """Decode JSON records; the second frame holds dead letters of the undecodable ones.
+def marked_rejects(df: DataFrame, text: str, schema: T.StructType, required: Sequence[str]) -> DataFrame:
+    """Decoded JSON ``record`` of every row, and a ``dead_letter`` where it is no JSON object or lacks a required field.
 
-    A record is rejected when it is no JSON object or lacks a required field.
+    One frame for both kinds, so a job that writes both reads its input once.
     """
     decoded = df.withColumn("record", parse_json(F.col(text), schema))
-    good, bad = split_incomplete(decoded, text, [f"record.{name}" for name in required])
-    return good, bad.drop("record")
+    return marked_incomplete(decoded, text, [f"record.{name}" for name in required])
+
+
+def split_rejects(
+    df: DataFrame, text: str, schema: T.StructType, required: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """The good and the bad rows of :func:`marked_rejects`; each half reads the input, persist it before."""
+    marked = marked_rejects(df, text, schema, required)
+    bad = F.col("dead_letter").isNotNull()
+    return marked.where(~bad).drop("dead_letter"), marked.where(bad).drop("record")
 
 
 def split_lines(

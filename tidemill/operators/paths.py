@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from tidemill.operators.ordered import ordered_index
 
+#: Rows in which neighbours are looked for together.
+_BLOCK = 10_000
+
 
 def common_prefix_length(left: Column, right: Column) -> Column:
     """Number of leading characters two texts share."""
@@ -37,9 +40,15 @@ def path_conflicts(df: DataFrame, path: str = "path") -> DataFrame:
 
 
 def _conflicts(numbered: DataFrame) -> DataFrame:
-    following = numbered.select((F.col("idx") - 1).alias("idx"), F.col("path").alias("first_below"))
+    # The first row of a block also goes to the block before, so every row finds the next one in its block.
+    block = F.floor(F.col("idx") / _BLOCK)
+    at_border = F.col("idx") % _BLOCK == 0
+    blocks = F.when(at_border, F.array(block, block - 1)).otherwise(F.array(block))
+    placed = numbered.select("*", F.explode(blocks).alias("_block"))
+    following = F.lead("path").over(Window.partitionBy("_block").orderBy("idx"))
+    # A row sent to the block before is the last one there and has no following row.
     return (
-        numbered.join(following, "idx")
+        placed.withColumn("first_below", following)
         .where(F.startswith("first_below", "path"))
         .select("path", "first_below")
     )
@@ -64,27 +73,27 @@ def path_groups(df: DataFrame, limit: int, path: str = "path", strict: bool = Tr
         conflict = _conflicts(numbered).first()
         if conflict is not None:
             raise ValueError(f"path {conflict.path} is also a folder of {conflict.first_below}")
+    # Blocks of limit + 1 rows; each is worked on with the one before and the one after it, in one shuffle.
+    size = limit + 1
+    block = F.floor(F.col("idx") / size)
+    near = numbered.withColumn("_block", block).withColumn("_near", F.explode(F.array(block - 1, block, block + 1)))
+    in_order = Window.partitionBy("_near").orderBy("idx")
+    ahead = near.withColumn("_ahead", F.lead("path", limit).over(in_order)).where(F.col("_block") <= F.col("_near"))
     # shared = length of the longest prefix common to paths idx .. idx + limit
-    ahead = numbered.select((F.col("idx") - limit).alias("idx"), F.col("path").alias("_ahead"))
-    shared = numbered.join(ahead, "idx", "left").select(
-        "idx", F.when(F.col("_ahead").isNotNull(), common_prefix_length(F.col("path"), F.col("_ahead"))).alias("shared")
-    )
-    # Longest over the pairs idx-limit .. idx, from blocks of limit + 1 rows: the part in the own
-    # block is a running maximum, the part in the block before a running maximum from its end.
-    block = F.floor(F.col("idx") / (limit + 1))
-    own = Window.partitionBy("_block").orderBy("idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    tail = Window.partitionBy("_block").orderBy(F.desc("idx")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    blocks = (
-        shared.withColumn("_block", block)
-        .withColumn("_own", F.max("shared").over(own))
-        .withColumn("_tail", F.max("shared").over(tail))
-    )
-    before = blocks.select((F.col("idx") + limit).alias("idx"), "_tail")
-    longest = blocks.select("idx", "_own").join(before, "idx", "left").select(
-        "idx", F.coalesce(F.greatest("_own", "_tail"), F.lit(-1)).alias("_longest")
+    shared = F.when(F.col("_ahead").isNotNull(), common_prefix_length(F.col("path"), F.col("_ahead")))
+    # Longest over the pairs idx-limit .. idx: the part in the own block is a running maximum, the part in the
+    # block before a running maximum from its end.
+    each = Window.partitionBy("_near", "_block")
+    running = (Window.unboundedPreceding, Window.currentRow)
+    longest = (
+        ahead.select("_near", "_block", "idx", "path", shared.alias("shared"))
+        .withColumn("_own", F.max("shared").over(each.orderBy("idx").rowsBetween(*running)))
+        .withColumn("_tail", F.max("shared").over(each.orderBy(F.desc("idx")).rowsBetween(*running)))
+        .withColumn("_before", F.lag("_tail", limit).over(in_order))
+        .where(F.col("_block") == F.col("_near"))
     )
-    length = F.col("_longest") + 1
-    return numbered.join(longest, "idx").select(
+    length = F.coalesce(F.greatest("_own", "_before"), F.lit(-1)) + 1
+    return longest.select(
         "path", F.when(length <= F.length("path"), F.substring(F.col("path"), F.lit(1), length)).alias("prefix")
     )
 
