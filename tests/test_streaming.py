@@ -332,3 +332,23 @@ def test_progress_records_of_a_query(spark):
 
     row = sinks.progress_of(spark, Query()).first()
     assert (row.query, row.batch_id, row.topic, row.partition, row.start_offset, row.end_offset) == ("q", 3, "t", 0, 1, 3)
+
+
+def test_progress_log_keeps_more_than_a_hundred_batches(spark, tmp_path):
+    batches = 105
+    spark.range(0, batches, 1, batches).write.parquet(str(tmp_path / "in"))
+    log = sinks.ProgressLog(spark, str(tmp_path / "progress"))
+    spark.streams.addListener(log)
+    try:
+        stream = spark.readStream.schema("id bigint").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        query = sinks.each_batch(stream, lambda batch, number: None, str(tmp_path / "cp"))
+        query.awaitTermination()
+        ids = {p["batchId"] if isinstance(p, dict) else p.batchId for p in query.recentProgress}
+        for _ in range(120):
+            if log.texts(query.id).count() > max(ids):
+                break
+            time.sleep(0.5)
+    finally:
+        spark.streams.removeListener(log)
+    numbers = {r.n for r in log.texts(query.id).select(F.get_json_object("value", "$.batchId").cast("int").alias("n")).collect()}
+    assert numbers == set(range(max(ids) + 1)) and len(numbers) > 100

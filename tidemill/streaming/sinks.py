@@ -8,8 +8,10 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from tidemill.operators.progress import progress_table
+from tidemill.sources.batches import BatchFolder
 from tidemill.sources.sinks import with_time_folders
 
 
@@ -113,6 +115,38 @@ def _as_dict(progress) -> Mapping:
 
 
 def progress_of(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """The progress records Spark keeps of a query (a hundred at most) as offsets per topic partition."""
+    """The progress records Spark keeps of a query (a hundred at most) as offsets per topic partition; for all see :class:`ProgressLog`."""
     texts = [(json.dumps(_as_dict(p)),) for p in query.recentProgress]
     return progress_table(spark.createDataFrame(texts, "value string"))
+
+
+class ProgressLog(StreamingQueryListener):
+    """Writes the progress record of every batch of every query to folders ``<query id>/batch=N``.
+
+    Register it with ``spark.streams.addListener``. Records arrive a moment after their batch.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _of(self, query_id) -> BatchFolder:
+        return BatchFolder(self.spark, f"{self.path}/{query_id}", "value string")
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        record = self.spark.createDataFrame([(progress.json,)], "value string").coalesce(1)
+        self._of(progress.id).write(progress.batchId, record)
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def texts(self, query_id) -> DataFrame:
+        """``value``: the records of one query, over all its runs."""
+        return self._of(query_id).all()
+
+    def offsets(self, query_id) -> DataFrame:
+        """The records of one query as offsets per topic partition."""
+        return progress_table(self.texts(query_id))
