@@ -82,14 +82,15 @@ def path_groups(df: DataFrame, limit: int, path: str = "path", strict: bool = Tr
     # shared = length of the longest prefix common to paths idx .. idx + limit
     shared = F.when(F.col("_ahead").isNotNull(), common_prefix_length(F.col("path"), F.col("_ahead")))
     # Longest over the pairs idx-limit .. idx: the part in the own block is a running maximum, the part in the
-    # block before a running maximum from its end.
-    each = Window.partitionBy("_near", "_block")
+    # block before a running maximum from its end. Blocks follow idx, so the maximum of (block, shared) is the
+    # current block's, and one order each way is enough.
+    from_end = Window.partitionBy("_near").orderBy(F.desc("idx"))
     running = (Window.unboundedPreceding, Window.currentRow)
     longest = (
         ahead.select("_near", "_block", "idx", "path", shared.alias("shared"))
-        .withColumn("_own", F.max("shared").over(each.orderBy("idx").rowsBetween(*running)))
-        .withColumn("_tail", F.max("shared").over(each.orderBy(F.desc("idx")).rowsBetween(*running)))
-        .withColumn("_before", F.lag("_tail", limit).over(in_order))
+        .withColumn("_own", F.max(F.struct("_block", "shared")).over(in_order.rowsBetween(*running))["shared"])
+        .withColumn("_tail", F.max(F.struct(-F.col("_block"), "shared")).over(from_end.rowsBetween(*running))["shared"])
+        .withColumn("_before", F.lead("_tail", limit).over(from_end))
         .where(F.col("_block") == F.col("_near"))
     )
     length = F.coalesce(F.greatest("_own", "_before"), F.lit(-1)) + 1
