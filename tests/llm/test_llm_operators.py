@@ -15,7 +15,7 @@ from tidemill.llm import language, maxscore, mixing, pieces, secrets, shards
 from tidemill.llm.components import components
 from tidemill.llm.merkle import Tree, edited_places, fingerprints
 from tidemill.llm.near_dedup import near_duplicates
-from tidemill.llm.passages import repeated_passages
+from tidemill.llm.passages import LEAST_WORDS, alike_parts, repeated_passages
 from tidemill.llm.queries import piece_model
 from tidemill.llm.suffix_dedup import repeated_substrings
 
@@ -319,6 +319,42 @@ def test_exact_passages_of_the_table(docs):
             seen.setdefault(run, r.doc_id)
 
 
+def test_passages_within_other_chains(spark):
+    """A chain too unlike as a whole hides neither a chain of another source inside it nor its own alike parts."""
+    rng = random.Random(7)
+    fresh = lambda n: [f"v{rng.randrange(10**9)}" for _ in range(n)]
+    stretch = fresh(207)
+    unlike = [w if i % 27 < 18 else f"y{i}" for i, w in enumerate(stretch)]
+    blocks = [fresh(55) for _ in range(8)]
+    filled = lambda: [w for block in blocks for w in block + fresh(18)]
+    both = fresh(70)
+    texts = {
+        1: fresh(20) + unlike + fresh(20), 2: fresh(40) + stretch[70:130] + fresh(40), 3: fresh(30) + stretch + fresh(30),
+        4: filled(), 5: fresh(25) + filled(),
+        6: fresh(9) + both + fresh(200), 7: fresh(9) + both[:60] + fresh(200), 8: both,
+    }
+    rows = spark.createDataFrame([(d, " ".join(w)) for d, w in texts.items()], "doc_id long, text string")
+    got = {r.doc_id: r for r in repeated_passages(rows).collect()}
+    assert got[3].sources == [2] and got[3].n_repeated_words == 60 and got[3].passages[0].first_word == 100
+    assert got[5].sources == [4] and got[5].n_repeated_words >= 8 * 55 and all(p.alike >= 0.8 for p in got[5].passages)
+    assert got[8].sources == [6, 7] and got[8].n_links == 2 and got[8].n_repeated_words == 70
+
+
+def test_alike_parts_cover_all_passages():
+    rng = random.Random(9)
+    for _ in range(150):
+        x, y, own, other = [], [], 0, 0
+        for _ in range(rng.randint(1, 160)):
+            x, y = [*x, own], [*y, other]
+            own, other = own + 1, other + 1
+            if rng.random() < 0.12:
+                own, other = own + rng.randint(0, 6), other + rng.randint(0, 6)
+        valid = lambda i, j: x[j] - x[i] + 1 >= LEAST_WORDS and 5 * (j - i + 1) >= 4 * max(x[j] - x[i] + 1, y[j] - y[i] + 1)
+        want = {w for i in range(len(x)) for j in range(i, len(x)) if valid(i, j) for w in range(x[i], x[j] + 1)}
+        got = alike_parts(np.array(x), np.array(y))
+        assert all(valid(i, j) for i, j in got) and {w for i, j in got for w in range(x[i], x[j] + 1)} == want
+
+
 def test_mix_meets_its_targets(spark):
     rng = random.Random(8)
     rows = [(i, "word " * rng.randint(5, 50), rng.choice(["en", "en", "de"]), rng.choice("aab")) for i in range(3000)]
