@@ -43,8 +43,16 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]{12,}"),
     Rule("hex", r"[0-9a-f]{32,}"),
 )
+#: After the header of a private key: what stands before its footer, else lines of base64, else all up to its last long
+#: run. No group is repeated, as Java would take a stack frame each time.
+_KEY_INFO = r"(?:[\x09-\x0D\x20]*Proc-Type:[^\r\n]*)?(?:[\x09-\x0D\x20]*DEK-Info:[^\r\n]*)?"
+_KEY_BODY = "|".join((
+    r"[^-]*-----END [A-Z ]*PRIVATE KEY-----",
+    r"[\x09\x20]*\r?\n[A-Za-z0-9+/=\r\n]*[A-Za-z0-9+/=](?:\r?\n|$)",
+    r"[\x09-\x0D\x20\\][A-Za-z0-9+/=\\\x09-\x0D\x20]*[A-Za-z0-9+/]{32,}={0,2}",
+))
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", rf"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:{_KEY_INFO}(?:{_KEY_BODY}))?"),
     Rule("forge_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
 )
 
