@@ -11,6 +11,9 @@ from tidemill.llm.near_dedup import near_duplicates
 from tidemill.llm.pieces import encode_documents
 from tidemill.llm.queries import piece_model
 
+#: Share of the tokens that is expected to stay after mixing, whatever the cells are.
+KEPT_TOKENS = 0.5
+
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the language models of these documents don't reject."""
@@ -36,8 +39,9 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn so that the tokens of sources, languages and topics meet their target weights."""
-    return mixing.mixed(docs).where("_kept").select(*docs.columns)
+    """Documents drawn so that the tokens of sources, languages and topics come to their target weights as near as
+    supply allows, and ``KEPT_TOKENS`` of all tokens stay."""
+    return mixing.mixed(docs, keep=KEPT_TOKENS).where("_kept").select(*docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

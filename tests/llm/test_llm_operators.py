@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -390,3 +391,25 @@ def test_mix_meets_its_targets(spark):
     for column in ("_source", "_lang"):
         for r in got.where("_kept").groupBy(column).agg(F.sum("_tokens").alias("t")).collect():
             assert abs(r.t / total - 0.5) < 0.05
+
+
+def test_mix_keeps_its_budget(spark, data, docs):
+    """A tiny cell doesn't scale the others down, and cells in short supply keep all."""
+    tiny = frame(spark, [(10**6, "one document of five words", "xx", "a")])
+    both = docs.select("doc_id", "text", "lang", "source").unionByName(tiny.select("doc_id", "text", "lang", "source"))
+    for rows in (docs, both):
+        for keep in (0.3, 0.8, 1.0):
+            got = mixing.mixed(rows, keep=keep)
+            total, expected = got.agg(F.sum("_tokens"), F.sum(F.col("_tokens") * F.col("_chance"))).first()
+            assert abs(expected / total - keep) < 1e-6
+            cells = got.where("_tokens > 0").groupBy("_source", "_lang", "_topic").agg(
+                F.first("_chance").alias("c"), F.first("_weight").alias("w"), F.sum("_tokens").alias("t")
+            ).collect()
+            scales = [r.c * r.t / r.w for r in cells if r.c < 1]
+            assert all(0 <= r.c <= 1 for r in cells) and (not scales or max(scales) - min(scales) < 1e-6)
+            assert all(max(scales) * r.w / r.t > 1 - 1e-6 for r in cells if r.c == 1 and scales)
+    stage = dict(corpus_pipeline.STAGES)["mix"]
+    tokens = lambda d: mixing.mixed(d).agg(F.sum("_tokens")).first()[0]
+    many = docs.withColumn("doc_id", F.explode(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.col("doc_id") + 10**5 * i)))
+    for rows in (many, many.unionByName(tiny.select(*docs.columns))):
+        assert abs(tokens(stage(spark, rows, data)) / tokens(rows) - corpus_pipeline.KEPT_TOKENS) < 0.1

@@ -63,16 +63,34 @@ def chance(key: Column, salt: str) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(salt), key)), 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
 
 
+def budgeted(weighted: DataFrame, keep: float) -> DataFrame:
+    """Cells with ``_chance``, by which a share ``keep`` of all tokens is expected to stay, however small a cell is.
+
+    Chances are ``ratio`` times one scale, at most 1: cells whose supply is too short keep all, and what they lack goes
+    to the others by weight. The window goes over cells, not documents.
+    """
+    whole = weighted.agg((F.sum("tokens") * F.lit(keep)).alias("_budget"), F.sum(F.when(F.col("tokens") > 0, F.col("weight"))).alias("_all"))  # one row
+    shortest = Window.orderBy(F.col("ratio").desc_nulls_last(), "source", "lang", "topic").rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda c: F.coalesce(F.sum(c).over(shortest), F.lit(0))
+    scale = F.try_divide(F.col("_budget") - before("tokens"), F.col("_all") - before("weight"))
+    scaled = cut(weighted.crossJoin(F.broadcast(whole)).withColumn("_scale", scale))
+    # The scale at the first cell that doesn't keep all is the largest of such cells.
+    settled = scaled.where(F.col("_scale") * F.col("ratio") < 1).agg(F.max("_scale").alias("_settled"))
+    drawn = F.when(F.col("weight") > 0, F.coalesce(F.least(F.lit(1.0), F.col("_settled") * F.col("ratio")), F.lit(1.0))).otherwise(0.0)
+    return scaled.crossJoin(F.broadcast(settled)).withColumn("_chance", F.when(F.col("ratio").isNull(), 1.0).otherwise(drawn))
+
+
 def mixed(
     docs: DataFrame, targets: Mapping[str, DataFrame] | None = None, rounds: int = ROUNDS, salt: str = "mix",
-    topics: Mapping[str, str] = TOPICS,
+    topics: Mapping[str, str] = TOPICS, keep: float | None = None,
 ) -> DataFrame:
     """All columns of ``docs`` (but those added) with _topic, _tokens, _weight, _chance, _draw and _kept.
 
     Tokens are words of whole texts. The token table of source, language and topic is raked to ``targets`` (margin name
-    to ``value, share``; :func:`even_targets` if None), weights turn into chances by dividing by the largest weight per
-    token, so the cell in shortest supply keeps all its documents, and a document is kept if the draw of its doc_id is
-    below its cell's chance.
+    to ``value, share``; :func:`even_targets` if None), and a document is kept if the draw of its doc_id is below its
+    cell's chance. With ``keep``, chances are such that this share of all tokens is expected to stay
+    (:func:`budgeted`). Without it weights are divided by the largest weight per token: all cells meet their weights in
+    proportion, but the cell in shortest supply decides how much stays.
 
     Null source, lang and topics are values of their own. Null and empty texts have no tokens and topic "other"; a cell
     without tokens keeps its documents. Rows of equal doc_id share a draw; a null doc_id draws as "null".
@@ -92,10 +110,13 @@ def mixed(
     )
     chosen = targets or {m: even_targets(cells, m) for m in ("source", "lang", "topic")}
     weighted = rake(cells, chosen, rounds).withColumn("ratio", F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")))
-    most = weighted.agg(F.max("ratio").alias("_most"))
-    rates = weighted.crossJoin(F.broadcast(most)).select(
-        F.col("source").alias("_s"), F.col("lang").alias("_l"), F.col("topic").alias("_t"), F.col("weight").alias("_weight"),
-        F.coalesce(F.col("ratio") / F.col("_most"), F.lit(1.0)).alias("_chance"),
+    if keep is None:
+        most = weighted.agg(F.max("ratio").alias("_most"))
+        weighted = weighted.crossJoin(F.broadcast(most)).withColumn("_chance", F.coalesce(F.col("ratio") / F.col("_most"), F.lit(1.0)))
+    else:
+        weighted = budgeted(weighted, keep)
+    rates = weighted.select(
+        F.col("source").alias("_s"), F.col("lang").alias("_l"), F.col("topic").alias("_t"), F.col("weight").alias("_weight"), "_chance"
     )
     draw = chance(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), salt)
     same = F.col("_source").eqNullSafe(F.col("_s")) & F.col("_lang").eqNullSafe(F.col("_l")) & F.col("_topic").eqNullSafe(F.col("_t"))
