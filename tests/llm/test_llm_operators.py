@@ -144,6 +144,21 @@ def test_language_without_letters_or_labels(spark):
     assert {r.lang_pred for r in none.collect()} == {"und"}
 
 
+def test_language_of_few_or_no_labels(spark):
+    split = lambda name: frame(spark, [(i, "x", "q", "a") for i in range(4000)]).select(
+        "doc_id", language.held_out().alias("held"), (F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(5)) == 0).alias("calibrates")
+    ).where(name).select("doc_id").limit(3).toPandas()["doc_id"].tolist()
+    english = [(10_000 + i, "the cat sat on the mat " * 5, "en", "a") for i in range(40)]
+    few = [(i, "приветствую вас на этой странице", "ru", "a") for i in split("calibrates and not held")]
+    rows = frame(spark, english + few)
+    got = {r.doc_id: (r.lang_pred, r.rejected) for r in language.identify(rows, language.learn(rows)).collect()}
+    assert {got[i] for i, *_ in few} == {("ru", False)} and got[10_000] == ("en", False)
+    held = frame(spark, [(i, "the cat sat on the mat", "en", "a") for i in split("held")])
+    stage = dict(corpus_pipeline.STAGES)["language"]
+    for unknown in (rows.withColumn("lang", F.lit(None).cast("string")), held):
+        assert stage(spark, unknown, None).count() == unknown.count()
+
+
 def jump_by_hand(key, shards_):
     b, j = -1, 0
     while j < shards_:

@@ -22,7 +22,7 @@ ORDER = 4
 BLANK, START = 32, 1
 #: Documents per language that counts and calibration are made of at most, and characters worked on at a time.
 SAMPLE_DOCUMENTS, BLOCK_CHARS = 1500, 1_000_000
-#: Of the sample, one document in this many calibrates.
+#: Of the sample, one document in this many calibrates; a language of fewer than twice as many has none that does.
 CALIBRATION_SHARE = 5
 #: How sharply entropy differences turn into a score, and how far beyond all calibration texts rejection begins.
 SHARPNESS, SLACK = 20.0, 1.5
@@ -115,7 +115,8 @@ class LanguageModel:
         """Language, score from 0 to 1 and rejection of each text."""
         n = len(texts)
         if not self.languages or not n:
-            return ["und"] * n, np.zeros(n), np.ones(n, bool)
+            # Nothing to judge by: only what holds no letter is rejected.
+            return ["und"] * n, np.zeros(n), ~grams_of(texts, self.table)[2] if n else np.zeros(0, bool)
         mean, _, counts, letters = self.entropies(texts)
         best = mean.argmin(1)
         least = mean[np.arange(n), best]
@@ -207,7 +208,8 @@ def sample(docs: DataFrame, per_language: int = SAMPLE_DOCUMENTS) -> DataFrame:
 
 
 def learn(docs: DataFrame, per_language: int = SAMPLE_DOCUMENTS) -> LanguageModel:
-    """The models of all non-null ``lang`` values of documents that are not held out.
+    """The models of all non-null ``lang`` values of documents that are not held out. A language of few such documents
+    is counted in full and rejects nothing.
 
     Counts are made and summed on the executors; what reaches the driver is the n-grams of the bounded sample, and
     its calibration texts.
@@ -228,12 +230,17 @@ def learn(docs: DataFrame, per_language: int = SAMPLE_DOCUMENTS) -> LanguageMode
 
     chosen = sample(docs, per_language).cache()
     try:
+        small = [r.lang for r in (
+            chosen.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("calibrates")).alias("counted"))
+            .where((F.col("n") < 2 * CALIBRATION_SHARE) | (F.col("counted") == 0)).select("lang").collect()
+        )]
+        calibrates = F.col("calibrates") & ~F.array_contains(F.array(*map(F.lit, small)).cast("array<string>"), F.col("lang"))
         counted = (
-            chosen.where("not calibrates").select("lang", "text").mapInArrow(count, "lang string, gram long, n long")
+            chosen.where(~calibrates).select("lang", "text").mapInArrow(count, "lang string, gram long, n long")
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
         )
         texts: dict[str, list[str]] = {}
-        for row in chosen.where("calibrates").select("lang", "text").toLocalIterator():
+        for row in chosen.where(calibrates).select("lang", "text").toLocalIterator():
             texts.setdefault(row.lang, []).append(row.text)
     finally:
         chosen.unpersist()
@@ -253,7 +260,8 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """All columns of ``docs`` (but those added) with ``lang_pred``, ``score`` and ``rejected``; only ``text`` is used.
 
     A null text or one without letters is "und", scores 0 and is rejected. Equal texts get equal results; the first
-    language by name wins a tie. Without any learned language all texts are "und".
+    language by name wins a tie. Without any learned language all texts are "und", and those with letters are not
+    rejected.
     """
     added = ["lang_pred", "score", "rejected"]
     rest = [c for c in docs.columns if c not in added]
