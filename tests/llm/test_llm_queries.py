@@ -13,8 +13,9 @@ def test_query(spark, data, name):
     if sql:
         assert differences(result, sql, connect(data)) is None
     else:
-        documents = spark.read.parquet(f"{data}/documents.parquet")
-        assert sorted(r.doc_id for r in result.select("doc_id").collect()) == sorted(r.doc_id for r in documents.collect())
+        table, key = ("pages", "page_id") if "page_id" in result.columns else ("documents", "doc_id")
+        rows = spark.read.parquet(f"{data}/{table}.parquet").select(key).collect()
+        assert sorted(result.select(key).collect()) == sorted(rows)
 
 
 def test_pipeline_stages(spark, data):

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import language, maxscore, mixing, secrets, shards
+from tidemill.llm import language, maxscore, mixing, periodic, secrets, shards, spelling, url_trees
 from tidemill.llm.frames import documents
 from tidemill.llm.merkle import fingerprints
 from tidemill.llm.near_dedup import near_duplicates
@@ -86,6 +86,28 @@ def op10_mix(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url")
+    return url_trees.judge(pages, url_trees.learn(url_trees.labelled_by_rules(pages)))
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    runs = spelling.letter_runs(documents(spark, folder))
+    return spelling.variant_groups(spelling.vocabulary(spelling.with_slips(runs)))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", periodic.repeated_tails().alias("text"))
+    best = periodic.strongest()
+    found = periodic.periodic_runs(docs).withColumn("best", best)
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.*",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_suffix_dedup": (op1_suffix_dedup, None),
     "op2_piece_encoding": (op2_piece_encoding, None),
@@ -97,4 +119,7 @@ QUERIES = {
     "op8_secret_scan": (op8_secret_scan, secrets.secrets_sql()),
     "op9_passages": (op9_passages, None),
     "op10_mix": (op10_mix, mixing.mix_sql()),
+    "op11_url_filter": (op11_url_filter, None),
+    "op12_spelling_variants": (op12_spelling_variants, spelling.variants_sql()),
+    "op13_periodic_runs": (op13_periodic_runs, None),
 }
