@@ -64,3 +64,20 @@ def test_filters_reach_the_scan(spark, data, name, part):
 def test_only_needed_columns_are_read(spark, data, name, columns):
     plan = plan_of(registry.queries()[name](spark, data), "formatted")
     assert f"ReadSchema: {columns}" in plan, plan
+
+
+def test_bucketed_merge_leaves_the_base_in_place(spark, data, no_small_tables):
+    plan = plan_of(registry.queries()["cdc_merge_bucketed"](spark, data))
+    base = next(i for i, line in enumerate(plan.splitlines()) if "Bucketed: true" in line)
+    assert plan.count("Exchange hashpartitioning") == 1
+    lines = plan.splitlines()
+    depth = lines[base].index("FileScan")
+    above = [line for line in lines[:base] if "Exchange" in line and line.index("Exchange") < depth]
+    assert not above, plan
+
+
+def test_user_aggregate_sends_buffers_only(spark, data):
+    plan = plan_of(registry.queries()["user_latest"](spark, data))
+    exchange = next(line for line in plan.splitlines() if "Exchange hashpartitioning(user_id" in line)
+    below = plan.split(exchange, 1)[1]
+    assert plan.count("Exchange") == 1 and "MapInArrow" in below and "_buffer" in below

@@ -31,7 +31,5 @@ def test_entry(spark):
     assert entry_points.entry(spark).columns == ["o_orderkey", "status", "cents"]
 
 
-def test_only_models_have_no_sql():
-    assert {n for n in QUERIES if n not in SQL} == {
-        "kmeans_ranges", "kmeans_time_ranges", "kmeans_hex_ranges", "stream_time_clusters"
-    }
+def test_all_have_sql():
+    assert set(QUERIES) == set(SQL)

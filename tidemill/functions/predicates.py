@@ -87,24 +87,3 @@ def with_test_variants(rules: Sequence[Segment], is_test_user: Column) -> list[S
         variants.append(Segment(rule.name, all_of([rule.predicate, ~is_test_user])))
         variants.append(Segment(rule.name + WITH_TEST, rule.predicate))
     return variants
-
-
-def api_segments(name: Column, user_id: Column, params: Column) -> list[Segment]:
-    """The eight segments of an API event feed."""
-    # Name patterns, parameter patterns and test user prefixes.
-    rules = [
-        Segment("IDENTITY", name == "http_request"),
-        Segment("TRANSACT", like_any(name, ["%order%", "%trade"]) | params.like('%"transact_id"%')),
-        Segment("TRANSFER", like_any(name, ["%transfer%"]) | params.like('%"transfer_id"%')),
-        Segment("ALL", F.lit(True)),
-    ]
-    return with_test_variants(rules, like_any(user_id, ["9999%", "8888%"]))
-
-
-def api_noise_filter(name: Column) -> Column:
-    """Event names that no segment counts."""
-    # Name patterns and names left out.
-    return all_of([
-        not_like_any(name, [r"%email\_%", r"admin\_%"]),
-        not_in(name, ["event1", "event2"]),
-    ])

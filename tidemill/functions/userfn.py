@@ -1,7 +1,8 @@
 """User code next to built-in functions.
 
 The built-in form is always the first choice; these show how code that has
-no column form is run, vectorised over Arrow batches.
+no column form is run, vectorised over Arrow batches. Aggregates of user code are in
+``operators/user_aggregate.py``.
 """
 
 from __future__ import annotations
@@ -21,12 +22,6 @@ def split_words(lines: pd.Series) -> pd.Series:
     return lines.map(lambda line: [] if line is None else [w for w in blanks.split(line) if w])
 
 
-@F.pandas_udf(T.DoubleType())
-def mean_of(values: pd.Series) -> float:
-    """Grouped average as user code, for tables only. Column form: ``avg``."""
-    return float(values.mean()) if values.notna().any() else None
-
-
 @F.pandas_udf(T.IntegerType())
 def fail_from_ten(numbers: pd.Series) -> pd.Series:
     """Numbers below ten as they are; fails the query on any other."""
@@ -44,5 +39,4 @@ def average(column: Column) -> Column:
 def register(spark: SparkSession) -> None:
     """Make the user functions callable from SQL text."""
     spark.udf.register("split_words", split_words)
-    spark.udf.register("mean_of", mean_of)
     spark.udf.register("fail_from_ten", fail_from_ten)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +16,7 @@ from tidemill.plans import inputs
 from tidemill.schemas import EMPLOYEE
 from tidemill.session import scratch_path
 from tidemill.sources import envelope as env
+from tidemill.sources.buckets import BucketedTable
 from tidemill.sources.changelog import ChangeLog
 from tidemill.sources.tables import raw_table, table, zoneless
 
@@ -47,6 +50,20 @@ def cdc_merge_versions(spark, folder):
     return log.read()
 
 
+def cdc_merge_bucketed(spark, folder):
+    """The same merge in three batches, the first two folded into a new base; the base is never shuffled."""
+    changes = _order_rows(spark, folder)
+    part = F.when(F.col("timestamp") < "1994-01-01", 0).when(F.col("timestamp") < "1996-06-01", 1).otherwise(2)
+    name = f"orders_{uuid.uuid4().hex}"
+    table = BucketedTable(spark, name, scratch_path(spark, name), ["o_orderkey"], 16)
+    table.create(inputs.order_target(spark, folder))
+    for batch in range(3):
+        table.append(changes.where(part == batch), POSITION, batch)
+        if batch == 1:
+            table.fold(batch)
+    return table.read()
+
+
 _CHANGES = """
 WITH feed AS (
   SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'D' WHEN o_orderkey % 5 <= 2 THEN 'U' ELSE 'I' END AS oc,
@@ -323,6 +340,7 @@ def progress_offsets(spark, folder):
 QUERIES = {
     "cdc_merge": (cdc_merge, _MERGE),
     "cdc_merge_versions": (cdc_merge_versions, _MERGE),
+    "cdc_merge_bucketed": (cdc_merge_bucketed, _MERGE),
     "cdc_latest_change": (cdc_latest_change, _CHANGES + "SELECT o_orderkey, oc, status, cents FROM s"),
     "envelope_offset_range": (envelope_offset_range, _PAYLOAD_SQL + """
 WHERE (event_id % 3 = 0 AND event_id // 3 BETWEEN 100 AND 899)

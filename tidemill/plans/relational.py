@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemill.functions import parse, userfn
-from tidemill.operators import aggregate, changes, cluster, joins, latest, paths, sketch
+from tidemill.operators import aggregate, changes, cluster, joins, latest, paths, sketch, user_aggregate
 from tidemill.operators.ordered import ordered_index
 from tidemill.plans.inputs import cents, events
 from tidemill.session import scratch_path
@@ -227,6 +227,31 @@ def kll_histogram_ok(spark, folder):
 # -- table changes ---------------------------------------------------------------
 
 
+def user_average(spark, folder):
+    """Mean per kind and over all events by user code that merges its buffers."""
+    rows = events(spark, folder)
+    average = user_aggregate.Average("cents")
+    by_type = user_aggregate.user_aggregate(rows, ["event_type"], average, "average")
+    over_all = user_aggregate.user_aggregate(rows, [], average, "average")
+    return by_type.unionByName(over_all, allowMissingColumns=True).withColumn("average", F.round("average", 6))
+
+
+def user_latest(spark, folder):
+    """Value of each user's newest event by user code."""
+    newest = user_aggregate.Newest("value", "ts", "event_id", "double")
+    return user_aggregate.user_aggregate(events(spark, folder), ["user_id"], newest, "latest")
+
+
+def user_average_sql(spark, folder):
+    """The mean by the names of its two table functions."""
+    user_aggregate.register_aggregate(spark, "mean_by_type", user_aggregate.Average("cents"), "event_type string", "cents bigint")
+    return spark.sql(
+        "SELECT event_type, round(result, 6) AS average FROM mean_by_type_merge(TABLE(SELECT * FROM "
+        "mean_by_type_partial(TABLE(SELECT event_type, cents FROM {events}))) PARTITION BY event_type)",
+        events=events(spark, folder),
+    )
+
+
 def _parts(spark, folder):
     return table(spark, folder, "part").select("p_partkey", "p_name", "p_size")
 
@@ -405,6 +430,13 @@ FROM events GROUP BY 1, 2"""),
     "custom_avg": (custom_avg, """
 SELECT event_type, round(CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) / count(value), 6) AS average
 FROM events GROUP BY 1"""),
+    "user_average": (user_average, """
+SELECT event_type, round(CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) / count(value), 6) AS average
+FROM events GROUP BY GROUPING SETS (event_type, ())"""),
+    "user_average_sql": (user_average_sql, """
+SELECT event_type, round(CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) / count(value), 6) AS average
+FROM events GROUP BY 1"""),
+    "user_latest": (user_latest, "SELECT user_id, arg_max(value, (ts, -event_id)) AS latest FROM events GROUP BY 1"),
     "theta_distinct_ok": (theta_distinct_ok, """
 SELECT l_returnflag, count(DISTINCT l_orderkey) AS n, true AS ok FROM lineitem GROUP BY 1"""),
     "quantiles_exact": (quantiles_exact, """
@@ -431,9 +463,15 @@ FROM part t FULL JOIN s ON t.p_partkey = s.p_partkey"""),
 SELECT 0 AS version, p_partkey, p_name, p_size FROM part
 UNION ALL SELECT 1, p_partkey, p_name, CASE WHEN p_partkey % 2 = 0 THEN p_size + 100 ELSE p_size END FROM part
 UNION ALL SELECT 2, p_partkey, p_name, p_size FROM part WHERE p_partkey % 2 <> 0"""),
-    "kmeans_ranges": (kmeans_ranges, None),
-    "kmeans_time_ranges": (kmeans_time_ranges, None),
-    "kmeans_hex_ranges": (kmeans_hex_ranges, None),
+    "kmeans_ranges": (kmeans_ranges, f"""
+SELECT low::DOUBLE / 100 AS range_min, high::DOUBLE / 100 AS range_max, n
+FROM ({cluster.ranges_sql("SELECT round(o_totalprice * 100) AS v FROM orders", 3)})"""),
+    "kmeans_time_ranges": (kmeans_time_ranges, f"""
+SELECT make_timestamp_ms(low) AS left_bound, make_timestamp_ms(high) AS right_bound, n
+FROM ({cluster.ranges_sql("SELECT epoch_us(ts) // 1000 AS v FROM events", 3)})"""),
+    "kmeans_hex_ranges": (kmeans_hex_ranges, f"""
+SELECT lower(hex(low)) AS left_hex, lower(hex(high)) AS right_hex, n
+FROM ({cluster.ranges_sql("SELECT epoch_us(ts) // 1000000 AS v FROM events", 10)})"""),
     "kmeans_ranges_ok": (kmeans_ranges_ok, """
 SELECT 'numbers' AS name, count(*) AS n, CAST(3 AS BIGINT) AS clusters, true AS disjoint FROM orders
 UNION ALL SELECT 'times', count(*), 3, true FROM events UNION ALL SELECT 'ids', count(*), 10, true FROM events"""),

@@ -11,11 +11,12 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.operators import sliding
+from tidemill.operators import cluster, sliding, user_aggregate
 from tidemill.operators.joins import with_static
 from tidemill.operators.latest import newest_per_key
 from tidemill.plans import feeds, inputs, relational, timed
 from tidemill.session import scratch_path, use_rocksdb
+from tidemill.sources.batches import BatchFolder
 from tidemill.sources.changelog import ChangeLog
 from tidemill.sources.tables import raw_table, table, zoned, zoneless
 from tidemill.streaming import flows, idle, sinks
@@ -30,19 +31,15 @@ PARTS = 5
 class Feed:
     """A table that arrives in :data:`PARTS` parts, by equal steps of a column; nulls are in the first."""
 
-    def __init__(self, spark, folder, name: str, order: str):
+    def __init__(self, spark, folder, name: str, order: str, parts: int = PARTS):
         self.spark, self.order = spark, order
         self.source = raw_table(spark, folder, name)
         self.path = scratch_path(spark, f"feed-{name}")
         low, high = self.source.agg(F.min(order), F.max(order)).first()
-        bounds = [] if low is None else [self._step(low, high, i) for i in range(1, PARTS)]
+        bounds = [] if low is None else [low + (high - low) * i // parts for i in range(1, parts)]
         self.ranges = list(zip([None, *bounds], [*bounds, None]))
         self._write(0)
 
-    @staticmethod
-    def _step(low, high, i: int):
-        return low + (high - low) * i // PARTS
-
     def _bound(self, value) -> Column:
         return F.lit(str(value)).cast(self.source.schema[self.order].dataType)
 
@@ -55,8 +52,10 @@ class Feed:
             rows = rows.where(before | column.isNull() if part == 0 else before)
         rows.write.mode("append").parquet(self.path)
 
-    def stream(self) -> DataFrame:
-        return zoned(self.spark.readStream.schema(self.source.schema).parquet(self.path))
+    def stream(self, files: int | None = None) -> DataFrame:
+        """The table as a stream, of at most so many files a batch."""
+        reader = self.spark.readStream.schema(self.source.schema)
+        return zoned((reader.option("maxFilesPerTrigger", files) if files else reader).parquet(self.path))
 
     def arrivals(self) -> Iterator[int]:
         """Part numbers, each once its rows are there."""
@@ -69,11 +68,11 @@ class Feed:
 class Events(Feed):
     """The events in order of time, or of another column."""
 
-    def __init__(self, spark, folder, order: str = "ts"):
-        super().__init__(spark, folder, "events", order)
+    def __init__(self, spark, folder, order: str = "ts", parts: int = PARTS):
+        super().__init__(spark, folder, "events", order, parts)
 
-    def stream(self) -> DataFrame:
-        return super().stream().withColumn("cents", inputs.cents("value"))
+    def stream(self, files: int | None = None) -> DataFrame:
+        return super().stream(files).withColumn("cents", inputs.cents("value"))
 
 
 def _emitted(feed: Feed, df: DataFrame) -> DataFrame:
@@ -264,6 +263,118 @@ def stream_latest_map_table(spark, folder):
     return job.read()
 
 
+def stream_latest_map_snapshot(spark, folder):
+    """The map over 25 batches or more in five runs, saved every tenth batch."""
+    base = scratch_path(spark, "saved-map")
+    feed = Events(spark, folder, parts=25)
+    rows = feed.stream(files=1).select("user_id", "cents", "ts", "event_id")
+    job = jobs.SavedMap(spark, f"{base}/map", rows.schema, "user_id", "cents", ["ts", "event_id"])
+    for part in feed.arrivals():
+        if part % 5 == 4:
+            sinks.each_batch(rows, job.process, f"{base}/checkpoint").awaitTermination()
+    return job.read()
+
+
+def _first_rows(spark, folder, name, order):
+    feed = Events(spark, folder, order=order)
+    rows = _final(feed, flows.first_rows(feed.stream(), ["user_id"], ["ts", "event_id"]), ["user_id"])
+    return zoneless(rows.withColumn("feed", F.lit(name)))
+
+
+def stream_first_rows(spark, folder):
+    """Each user's first whole row, from events that arrive by time and from the same by id."""
+    return _first_rows(spark, folder, "by time", "ts").unionByName(_first_rows(spark, folder, "by id", "event_id"))
+
+
+def stream_users_running(spark, folder):
+    """Distinct users of each day so far, after each batch that touched the day."""
+    feed = Events(spark, folder, order="event_id")
+    running = flows.users_running(feed.stream(), "ts", "user_id", "1 day", "400 days", shards=8)
+    totals = flows.running_totals(_by_batch(feed, running))
+    # One entry per batch that touched the day.
+    steps = F.array_sort(F.collect_list(F.struct("batch_id", "users")))["users"]
+    return zoneless(totals.groupBy("window_start").agg(F.array_join(steps.cast("array<string>"), ",").alias("users")))
+
+
+def stream_stop_resume(spark, folder):
+    """Events counted over a run that ends after two batches and one that goes on; batch ids without gap or repeat."""
+    base = scratch_path(spark, "resumed")
+    feed = Events(spark, folder)
+    for _ in feed.arrivals():
+        pass
+    kept = BatchFolder(spark, f"{base}/rows", "event_type string, event_id bigint")
+    rows = feed.stream(files=1).select("event_type", "event_id")
+    checkpoint = f"{base}/checkpoint"
+    first = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda batch, i: kept.write(i, batch))
+    sinks.run_batches(first, 2, 300)
+    stopped = len(kept.batches())
+    sinks.each_batch(rows, lambda batch, i: kept.write(i, batch), checkpoint).awaitTermination()
+    ids = kept.batches()
+    gapless = ids == list(range(len(ids))) and 2 <= stopped < len(ids)
+    return kept.rows().groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("events")).withColumn(
+        "gapless", F.lit(gapless)
+    )
+
+
+def stream_progress(spark, folder):
+    """Rows of each batch as its progress record tells, by input and as observed, beside those written."""
+    base = scratch_path(spark, "progress")
+    feed = Events(spark, folder)
+    log = sinks.ProgressLog(spark, f"{base}/log")
+    kept = BatchFolder(spark, f"{base}/rows", "event_id bigint")
+    rows = sinks.with_row_count(feed.stream().select("event_id"))
+    spark.streams.addListener(log)
+    try:
+        for part in feed.arrivals():
+            query = sinks.each_batch(rows, lambda batch, i: kept.write(i, batch), f"{base}/checkpoint")
+            query.awaitTermination()
+            log.wait_for(query.id, part, 60)
+    finally:
+        spark.streams.removeListener(log)
+    records = log.texts(query.id).select(
+        F.get_json_object("value", "$.batchId").cast("bigint").alias("batch"),
+        F.get_json_object("value", "$.numInputRows").cast("bigint").alias("rows_read"),
+        F.get_json_object("value", "$.observedMetrics.rows.count").cast("bigint").alias("rows_observed"),
+    )
+    written = kept.rows().groupBy("batch").agg(F.count(F.lit(1)).alias("rows_written"))
+    return records.where("rows_read > 0").join(written, "batch", "full")
+
+
+def stream_user_average(spark, folder):
+    """The mean by user code, whose buffers every batch adds to a table that a read merges."""
+    base = scratch_path(spark, "user-average")
+    feed = Events(spark, folder)
+    average = user_aggregate.Average("cents")
+    kept = BatchFolder(spark, f"{base}/buffers", f"event_type string, {user_aggregate.BUFFER} binary")
+    _run(feed, feed.stream(), lambda batch, i: kept.write(i, user_aggregate.partial_buffers(batch, ["event_type"], average)), base)
+    return user_aggregate.merged_buffers(kept.all(), average, "average").withColumn("average", F.round("average", 6))
+
+
+SKETCHED, RANKS = ("2024-01-05", "2024-01-20"), (0.1, 0.5, 0.9)
+
+
+def stream_sketch_rollup_ok(spark, folder):
+    """Sketches of hourly windows from five batches, rolled up to fifteen days: rows, and whether each estimate is within
+    5 % of the distinct values or 3 % of the ranks."""
+    feed = Events(spark, folder, order="event_id")
+    base = scratch_path(spark, "sketches")
+    job = jobs.SketchTable(spark, f"{base}/sketches", "event_type", "ts", "user_id", "cents", "1 hour")
+    _run(feed, feed.stream().select("event_type", "ts", "user_id", "cents"), job.process, base)
+    rolled = job.roll_up(*SKETCHED, RANKS)
+    begin, end = (F.lit(t).cast("timestamp") for t in SKETCHED)
+    rows = inputs.events(spark, folder).where((F.col("ts") >= begin) & (F.col("ts") < end)).select("event_type", "user_id", "cents")
+    # A few rows, one per kind of event.
+    found = rows.join(F.broadcast(rolled), "event_type").groupBy("event_type", "n", "distinct_values", "quantiles").agg(
+        F.count_distinct("user_id").alias("users"), F.count("cents").alias("known"),
+        *[F.count_if(F.col("cents") <= F.get("quantiles", F.lit(i))).alias(f"upto{i}") for i in range(len(RANKS))],
+        *[F.count_if(F.col("cents") < F.get("quantiles", F.lit(i))).alias(f"below{i}") for i in range(len(RANKS))],
+    )
+    near = F.abs(F.col("distinct_values") - F.col("users")) <= 0.05 * F.col("users")
+    for i, rank in enumerate(RANKS):
+        near &= (F.col(f"upto{i}") >= (rank - 0.03) * F.col("known")) & (F.col(f"below{i}") <= (rank + 0.03) * F.col("known"))
+    return found.select("event_type", "n", near.alias("ok"))
+
+
 def stream_time_clusters(spark, folder):
     base = scratch_path(spark, "clusters")
     job = jobs.TimeClusters(spark, f"{base}/ranges", "ts")
@@ -333,7 +444,33 @@ HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= {_CLOSED}"""),
     "stream_sliding_sum_table": (stream_sliding_sum_table, _FROM_CUTOFF),
     "stream_window_metrics": (stream_window_metrics, timed.QUERIES["window_metrics"][1]),
     "stream_cdc_merge": (stream_cdc_merge, feeds.QUERIES["cdc_merge"][1]),
-    "stream_time_clusters": (stream_time_clusters, None),
+    "stream_latest_map_snapshot": (stream_latest_map_snapshot, _LATEST),
+    "stream_first_rows": (stream_first_rows, f"""
+WITH e AS (SELECT event_id, ts, user_id, event_type, value, props, CAST(round(value * 100) AS BIGINT) AS cents FROM events
+           QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1)
+SELECT *, unnest(['by time', 'by id']) AS feed FROM e"""),
+    "stream_users_running": (stream_users_running, f"""
+WITH b AS (SELECT min(event_id) AS low, max(event_id) AS high FROM events),
+e AS (SELECT date_trunc('day', ts) AS window_start, user_id,
+             (SELECT count(*) FROM range(1, {PARTS}) r(i) WHERE event_id >= low + (high - low) * i // {PARTS})::INTEGER AS batch_id FROM events, b),
+f AS (SELECT window_start, user_id, min(batch_id) AS batch_id FROM e WHERE user_id IS NOT NULL GROUP BY ALL),
+t AS (SELECT t.window_start, t.batch_id, count(*) AS users
+      FROM (SELECT DISTINCT window_start, batch_id FROM e WHERE user_id IS NOT NULL) t
+      JOIN f ON f.window_start = t.window_start AND f.batch_id <= t.batch_id GROUP BY ALL)
+SELECT window_start, string_agg(users::VARCHAR, ',' ORDER BY batch_id) AS users FROM t GROUP BY 1"""),
+    "stream_stop_resume": (stream_stop_resume, """
+SELECT event_type, count(*) AS n, count(DISTINCT event_id) AS events, true AS gapless FROM events GROUP BY 1"""),
+    "stream_progress": (stream_progress, f"""
+WITH b AS (SELECT epoch_us(min(ts)) AS low, epoch_us(max(ts)) AS high FROM events),
+e AS (SELECT (SELECT count(*) FROM range(1, {PARTS}) r(i) WHERE epoch_us(ts) >= low + (high - low) * i // {PARTS}) AS batch FROM events, b)
+SELECT batch, count(*) AS rows_read, count(*) AS rows_observed, count(*) AS rows_written FROM e GROUP BY 1"""),
+    "stream_user_average": (stream_user_average, relational.QUERIES["user_average_sql"][1]),
+    "stream_sketch_rollup_ok": (stream_sketch_rollup_ok, f"""
+SELECT event_type, count(*) AS n, true AS ok FROM events WHERE ts >= '{SKETCHED[0]}' AND ts < '{SKETCHED[1]}' GROUP BY 1"""),
+    "stream_time_clusters": (stream_time_clusters, f"""
+SELECT make_timestamp_ms(low) AS left_bound, make_timestamp_ms(high) AS right_bound, n FROM ({cluster.ranges_sql(f"""
+  SELECT epoch_us(ts) // 1000 AS v, (SELECT count(*) FROM range(1, {PARTS}) r(i) WHERE epoch_us(ts) >= low + (high - low) * i // {PARTS}) AS part
+  FROM events, (SELECT epoch_us(min(ts)) AS low, epoch_us(max(ts)) AS high FROM events)""", 3, "part")})"""),
     "stream_time_clusters_ok": (stream_time_clusters_ok, f"""
 SELECT 'parts' AS name, count(*) AS n, CAST({3 * PARTS} AS BIGINT) AS clusters, true AS disjoint FROM events"""),
     "stream_late_rows": (stream_late_rows, _LATE),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -43,6 +44,17 @@ class BatchFolder:
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def batches(self) -> list[int]:
+        """Ids of the batches that were written, from the names of the folders."""
+        found = (re.search(r"/batch=(\d+)/", path) for path in self.rows().inputFiles())
+        return sorted({int(m[1]) for m in found if m})
+
+    def of(self, batch_ids: Sequence[int]) -> DataFrame:
+        """Rows of some batches; the folders of others are not even listed."""
+        if not batch_ids:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/batch={b}" for b in batch_ids])
+
     def all(self) -> DataFrame:
         """Rows of all batches."""
         return self.rows().drop("batch")

@@ -6,11 +6,11 @@ Watermarks bound the state of all but the flows that say otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.parse import space_tokens
-from tidemill.operators.latest import latest_value
+from tidemill.operators.latest import latest_value, oldest_per_key
 
 
 def running_word_count(lines: DataFrame, text: str = "value") -> DataFrame:
@@ -69,6 +69,14 @@ def first_seen(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.dropDuplicates(keys)
 
 
+def first_rows(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """First whole row per key by ``order``, whatever order rows arrive in; update mode, as an earlier row may still come.
+
+    State: that row of each key, never dropped.
+    """
+    return oldest_per_key(df, keys, order)
+
+
 def first_seen_within(df: DataFrame, keys: list[str], ts: str, delay: str) -> DataFrame:
     """First row per key; a key is forgotten once the watermark has passed it by ``delay``."""
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
@@ -114,3 +122,33 @@ def users_per_window(df: DataFrame, ts: str, user: str, width: str = "10 seconds
         .groupBy("window")
         .agg(F.count(F.lit(1)).alias("distinct_users"))
     )
+
+
+def users_running(
+    df: DataFrame, ts: str, user: str, width: str, delay: str, shards: int = 16
+) -> DataFrame:
+    """Distinct users of each tumbling window so far, per shard of users; update mode, so every batch reports what it touched.
+
+    A window's users are spread over ``shards`` sets, and its count is the sum over the newest row of each shard
+    (:func:`running_totals`). The watermark ends the sets of past windows; users without id don't count.
+    """
+    shard = F.pmod(F.xxhash64(user), F.lit(shards)).cast("int").alias("shard")
+    return (
+        df.where(F.col(user).isNotNull())
+        .withWatermark(ts, delay)
+        .groupBy(F.window(ts, width).alias("window"), shard)
+        .agg(F.size(F.collect_set(user)).cast("bigint").alias("users"))
+        .select(F.col("window.start").alias("window_start"), "shard", "users")
+    )
+
+
+def running_totals(rows: DataFrame, batch: str = "batch_id") -> DataFrame:
+    """``window_start, users`` and the batch for each window that a batch of :func:`users_running` touched.
+
+    Counts of a shard never fall, so its newest row up to a batch adds what it grew by since the row before.
+    """
+    before = Window.partitionBy("window_start", "shard").orderBy(batch)
+    grown = rows.withColumn("grown", F.col("users") - F.coalesce(F.lag("users").over(before), F.lit(0)))
+    per_batch = grown.groupBy("window_start", batch).agg(F.sum("grown").alias("grown"))
+    so_far = Window.partitionBy("window_start").orderBy(batch).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return per_batch.select("window_start", batch, F.sum("grown").over(so_far).alias("users"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import threading
+import time
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -110,6 +112,54 @@ def stop_after(query: StreamingQuery, batches: int, timeout: float) -> None:
         query.stop()
 
 
+class _Batches(StreamingQueryListener):
+    """Tells when a query has finished so many batches with rows."""
+
+    def __init__(self, batches: int):
+        self.left, self.reached, self.query_id = batches, threading.Event(), None
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        if event.progress.id == self.query_id and event.progress.numInputRows:
+            self.left -= 1
+            if self.left <= 0:
+                self.reached.set()
+
+    def onQueryTerminated(self, event) -> None:
+        if event.id == self.query_id:
+            self.reached.set()
+
+
+def run_batches(writer: DataStreamWriter, batches: int, timeout: float) -> None:
+    """Run a query until it has finished so many batches with rows, then end it; its checkpoint lets the next run go on.
+
+    A batch that has begun by then is broken off and comes again. The source bounds a batch (``maxFilesPerTrigger``,
+    ``maxOffsetsPerTrigger``). An error of the query is raised, as is a ``TimeoutError``.
+    """
+    spark = writer._spark
+    listener = _Batches(batches)
+    spark.streams.addListener(listener)
+    query = None
+    try:
+        query = writer.trigger(processingTime="0 seconds").start()
+        listener.query_id = query.id
+        deadline = time.monotonic() + timeout
+        while not listener.reached.wait(0.2):
+            # Batches that ended before the id was known are in the records.
+            if sum(1 for p in query.recentProgress if p["numInputRows"]) >= batches or not query.isActive:
+                break
+            if time.monotonic() > deadline:
+                raise TimeoutError(f"the query has not finished {batches} batches within {timeout} s")
+        if query.exception() is not None:
+            raise query.exception()
+    finally:
+        if query is not None:
+            query.stop()
+        spark.streams.removeListener(listener)
+
+
 def _as_dict(progress) -> Mapping:
     return progress if isinstance(progress, Mapping) else json.loads(progress.json)
 
@@ -143,6 +193,14 @@ class ProgressLog(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:
         pass
 
+    def wait_for(self, query_id, batch_id: int, timeout: float) -> None:
+        """Until the record of a batch is there; a ``TimeoutError`` if it does not come."""
+        deadline = time.monotonic() + timeout
+        while batch_id not in self._of(query_id).batches():
+            if time.monotonic() > deadline:
+                raise TimeoutError(f"no progress record of batch {batch_id} within {timeout} s")
+            time.sleep(0.1)
+
     def texts(self, query_id) -> DataFrame:
         """``value``: the records of one query, over all its runs."""
         return self._of(query_id).all()

@@ -101,11 +101,86 @@ class LatestMap:
         return rows.groupBy(self.key).agg(F.max_by(self.value, known).alias(self.value))
 
 
+class SavedMap:
+    """Latest known value per key over micro-batches, with all of the map saved every ``every`` batches.
+
+    The value of the greatest ``order`` wins, but a NULL only if there is no other, whatever batch brings it. A read opens
+    the last saved map and the updates after it. The map of the batches before ``N`` is saved ahead of the updates of
+    batch ``N`` and used once these are there, so a run that breaks off leaves no half map behind, and a repeated batch
+    replaces its own updates only.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, fields: T.StructType, key: str, value: str, order: Sequence[str], every: int = 10
+    ):
+        self.spark, self.key, self.value, self.order, self.every = spark, key, value, list(order), every
+        self.updates, self.saved = BatchFolder(spark, f"{path}/updates", fields), BatchFolder(spark, f"{path}/saved", fields)
+
+    def _newest(self, rows: DataFrame) -> DataFrame:
+        known = rows.select(*self.updates.schema.names).withColumn("_known", F.col(self.value).isNotNull())
+        return newest_per_key(known, [self.key], ["_known", *self.order]).drop("_known")
+
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        written = self.updates.batches()
+        if batch_id and batch_id % self.every == 0 and batch_id not in written:
+            self.saved.write(batch_id - 1, self._newest(self.parts(batch_id - 1)))
+        self.updates.write(batch_id, self._newest(batch))
+
+    def parts(self, last: int | None = None) -> DataFrame:
+        """The rows that a read after batch ``last`` merges: a saved map and the updates since."""
+        written = [b for b in self.updates.batches() if last is None or b <= last]
+        whole = set(self.updates.batches())
+        saved = [b for b in self.saved.batches() if b + 1 in whole and (last is None or b <= last)]
+        begin = saved[-1] if saved else -1
+        rows = self.updates.of([b for b in written if b > begin])
+        return rows.unionByName(self.saved.of([begin])) if saved else rows
+
+    def read(self, last: int | None = None) -> DataFrame:
+        """The map after batch ``last``, all batches by default."""
+        return self._newest(self.parts(last)).select(self.key, self.value)
+
+
+class SketchTable:
+    """Distinct-count and quantile sketches per group, window and micro-batch; any range of windows rolls up from them.
+
+    A batch writes one row of bytes per group and window it touches, so tables stay small however many rows pass, and late
+    rows only add another sketch to their window.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, group: str, ts: str, counted: str, measured: str, width: str):
+        self.group, self.ts, self.counted, self.measured, self.width = group, ts, counted, measured, width
+        fields = T.StructType([
+            T.StructField(group, T.StringType()), T.StructField("window_start", T.TimestampType()), T.StructField("n", T.LongType()),
+            T.StructField("theta", T.BinaryType()), T.StructField("kll", T.BinaryType()),
+        ])
+        self.sketches = BatchFolder(spark, path, fields)
+
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        start = F.window(self.ts, self.width)["start"].alias("window_start")
+        rows = batch.groupBy(F.col(self.group).cast("string").alias(self.group), start).agg(
+            F.count(F.lit(1)).alias("n"), F.theta_sketch_agg(self.counted).alias("theta"),
+            F.kll_sketch_agg_double(F.col(self.measured).cast("double")).alias("kll"),
+        )
+        self.sketches.write(batch_id, rows)
+
+    def roll_up(self, begin: str, end: str, ranks: Sequence[float]) -> DataFrame:
+        """Rows, distinct values and quantiles per group of the windows that start in ``[begin, end)``."""
+        start = F.col("window_start")
+        inside = self.sketches.rows().where((start >= F.lit(begin).cast("timestamp")) & (start < F.lit(end).cast("timestamp")))
+        merged = inside.groupBy(self.group).agg(
+            F.sum("n").alias("n"), F.theta_union_agg("theta").alias("theta"), F.kll_merge_agg_double("kll").alias("kll")
+        )
+        return merged.select(
+            self.group, "n", F.theta_sketch_estimate("theta").alias("distinct_values"),
+            F.array(*[F.kll_sketch_get_quantile_double("kll", F.lit(float(r))) for r in ranks]).alias("quantiles"),
+        )
+
+
 class TimeClusters:
     """Time ranges of k clusters in each micro-batch."""
 
-    def __init__(self, spark: SparkSession, path: str, ts: str, k: int = 3, seed: int = 1):
-        self.ts, self.k, self.seed = ts, k, seed
+    def __init__(self, spark: SparkSession, path: str, ts: str, k: int = 3):
+        self.ts, self.k = ts, k
         self.ranges = BatchFolder(spark, path, "left_bound timestamp, right_bound timestamp, n bigint")
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
@@ -113,7 +188,7 @@ class TimeClusters:
         batch.persist()
         try:
             if not batch.isEmpty():
-                self.ranges.write(batch_id, time_ranges(batch, self.ts, self.k, self.seed))
+                self.ranges.write(batch_id, time_ranges(batch, self.ts, self.k))
         finally:
             batch.unpersist()
 
