@@ -8,11 +8,13 @@ per character; a text that even this language finds less likely than any calibra
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -265,10 +267,11 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """
     added = ["lang_pred", "score", "rejected"]
     rest = [c for c in docs.columns if c not in added]
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # a few MB: the sample's n-grams
+    # A few MB: the sample's n-grams. By value with its class, as the workers need not have the package.
+    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own = pickle.loads(shared.value)
         for batch in batches:
             texts = batch.column("_text").to_pylist()
             ends = np.cumsum([len(t) for t in texts])

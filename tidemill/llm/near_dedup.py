@@ -52,9 +52,9 @@ def _signatures(size: int, trees: int, depth: int):
             ends = np.cumsum([0] + [len(p) for p in paths]).astype(np.int32)
             values = np.concatenate(paths) if paths else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.array(sizes, pa.int64()), pa.array(np.array(first, np.uint64).view(np.int64)),
+                [batch.column("doc"), batch.column("h"), pa.array(sizes, pa.int64()), pa.array(np.array(first, np.uint64).view(np.int64)),
                  pa.array(np.array(second, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64)))],
-                names=["doc", "n", "c1", "c2", "paths"],
+                names=["doc", "h", "n", "c1", "c2", "paths"],
             )
 
     return work
@@ -138,38 +138,41 @@ def near_duplicates(
     ``size`` make one shingle. Rows that share a doc_id are one document of the component. A null doc_id is the
     smallest id and stays null. Other columns are not read.
     """
-    rows = docs.select(id_or_mark().alias("doc"), text_or_empty().alias("text"))
+    # A class is known by its smallest row (id, then text hash), so texts that share an id stay apart.
+    rows = docs.select(id_or_mark().alias("doc"), text_or_empty().alias("text")).withColumn("h", F.xxhash64("text"))
     signed = stored(
-        rows.mapInArrow(_signatures(size, trees, DEPTH), "doc long, n long, c1 long, c2 long, paths array<long>"), "signatures"
+        rows.mapInArrow(_signatures(size, trees, DEPTH), "doc long, h long, n long, c1 long, c2 long, paths array<long>"), "signatures"
     )
-    named = signed.where("n > 0").groupBy("c1", "c2", "n").agg(F.min("doc").alias("rep"))
+    named = signed.where("n > 0").groupBy("c1", "c2", "n").agg(F.min(F.struct("doc", "h")).alias("least"))
+    named = named.select("c1", "c2", "n", F.col("least.doc").alias("rep"), F.col("least.h").alias("rep_h"))
     classes = signed.select("doc", "n", "c1", "c2").join(named, ["c1", "c2", "n"], "left")
     members = (
-        signed.where("n > 0").join(named, ["c1", "c2", "n"]).where("doc = rep").select("rep", "n", "paths").dropDuplicates(["rep", "n"])
+        signed.where("n > 0").join(named, ["c1", "c2", "n"]).where("doc = rep and h = rep_h")
+        .select("rep", "rep_h", "n", "c1", "c2", "paths").dropDuplicates(["c1", "c2", "n"])
     )
     step = lambda t: F.struct(*[F.get("paths", t * DEPTH + d).alias(f"k{d}") for d in range(DEPTH)])
-    walks = members.select("rep", F.explode(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), step)).alias("w")).select("rep", "w.*")
+    walks = members.select("rep", "rep_h", F.explode(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), step)).alias("w")).select("rep", "rep_h", "w.*")
     counts = walks.groupBy("k0").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     shared = stored(walks.join(counts, "k0"), "shared-nodes")
-    leaves = shared.where(F.col("m") <= small).select("rep", F.col("k0").alias("node"), "m")
+    leaves = shared.where(F.col("m") <= small).select("rep", "rep_h", F.col("k0").alias("node"), "m")
     wide = shared.where(F.col("m") > small).drop("m")
     for d in range(1, DEPTH):
         sizes = wide.groupBy(f"k{d}").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
         branched = wide.join(sizes, f"k{d}")
         done = F.col("m") <= small if d < DEPTH - 1 else F.lit(True)
-        leaves = leaves.unionByName(branched.where(done).select("rep", F.col(f"k{d}").alias("node"), "m"))
+        leaves = leaves.unionByName(branched.where(done).select("rep", "rep_h", F.col(f"k{d}").alias("node"), "m"))
         wide = branched.where(~done).drop("m")
     # Trees often find the same group: one node of each set of members is enough.
-    same = leaves.groupBy("node", "m").agg(F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("x"))
+    same = leaves.groupBy("node", "m").agg(F.sum(F.xxhash64("rep", "rep_h").cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64("rep", "rep_h", F.lit(1))).alias("x"))
     chosen = same.groupBy("m", "s", "x").agg(F.min("node").alias("node")).select("node")
-    own = F.pmod(F.xxhash64("rep", F.lit(2)), F.ceil(F.col("m") / F.lit(block)))
+    own = F.pmod(F.xxhash64("rep", "rep_h", F.lit(2)), F.ceil(F.col("m") / F.lit(block)))
     cells = F.transform(
         F.sequence(F.lit(0), F.ceil(F.col("m") / F.lit(block)).cast("int") - 1),
         lambda other: F.when(F.col("m") <= block, F.col("node")).otherwise(F.xxhash64("node", F.least(own, other.cast("bigint")), F.greatest(own, other.cast("bigint")))),
     )
-    placed = leaves.join(chosen, "node").groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list(cells))).alias("nodes"))
+    placed = leaves.join(chosen, "node").groupBy("rep", "rep_h").agg(F.array_distinct(F.flatten(F.collect_list(cells))).alias("nodes"))
     links = (
-        rows.join(placed, F.col("doc") == F.col("rep")).select("doc", "text", F.explode("nodes").alias("node"))
+        rows.join(placed, (F.col("doc") == F.col("rep")) & (F.col("h") == F.col("rep_h"))).select("doc", "text", F.explode("nodes").alias("node"))
         .repartition("node").sortWithinPartitions("node", "doc").select("node", "doc", "text")
         .mapInArrow(_verified(size, percent), "a long, b long")
     )

@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 
 from tidemill.llm.bytesmath import Prefix, U, byte_values, mix, sliding_min, string_bytes
 from tidemill.llm.frames import id_or_mark, mark_to_null, stored, text_or_empty
+from tidemill.operators.ordered import ordered_index
+from tidemill.session import cut
 
 DIGIT = 32
 #: Positions worked on at a time.
@@ -43,6 +45,9 @@ REPEATS = "doc long, at long, windows int"
 
 # ``at`` holds tie (25 bits), start (31 bits) and windows - 1 (7 bits): the order of occurrences within a doc_id.
 _TIE, _START = 38, 7
+TIE_BITS = 25
+#: Ranks of texts under shared ids that are broadcast: 32 bytes each.
+BROADCAST_RANKS = 200_000
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -313,6 +318,28 @@ def without_repeats(length: int):
     return work
 
 
+def ranked_rows(rows: DataFrame) -> DataFrame:
+    """``doc, text, tie``: the rank of the text among the distinct texts of its doc_id, by two 64-bit hashes; 0 alone.
+
+    Counting ids tells which are shared. Their texts are ranked over range partitions, so an id on very many rows (those
+    without id) is no task of its own. The ranks go to all rows by a broadcast up to ``BROADCAST_RANKS`` of them; beyond
+    that, the texts are shuffled once more.
+    """
+    shared = cut(rows.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc"))
+    if shared.isEmpty():
+        return rows.withColumn("tie", F.lit(0).cast("bigint"))
+    hashes = {"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit(1), F.col("text"))}
+    distinct = rows.join(shared, "doc", "left_semi").select("doc", *[h.alias(c) for c, h in hashes.items()]).distinct()
+    ordered = cut(ordered_index(distinct, ["doc", "h1", "h2"]))
+    first = ordered.groupBy("doc").agg(F.min("idx").alias("first"))
+    few = ordered.limit(BROADCAST_RANKS + 1).count() <= BROADCAST_RANKS
+    small = F.broadcast if few else lambda df: df
+    rank = F.col("idx") - F.col("first")
+    checked = F.when(rank < 1 << TIE_BITS, rank).otherwise(F.raise_error(F.lit("too many texts share one doc_id")).cast("bigint"))
+    ranks = ordered.join(small(first), "doc").select("doc", "h1", "h2", checked.alias("tie"))
+    return rows.withColumns(hashes).join(small(ranks), ["doc", "h1", "h2"], "left").select("doc", "text", F.coalesce("tie", F.lit(0)).alias("tie"))
+
+
 RESULT = "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<array<long>>"
 
 
@@ -324,13 +351,12 @@ def repeated_substrings(docs: DataFrame, length: int = 100, hot_contexts: int =
     the maximal removed runs as ``[start, end)`` in bytes.
 
     Null or empty texts give a row with zero bytes. A null doc_id comes before all others and stays null. Rows that
-    share a doc_id are ordered by a hash of the text; rows equal in doc_id and text count as one document and get the
+    share a doc_id are ordered by two hashes of the text (at most 2^25 distinct texts an id, else an error); rows equal in doc_id and text count as one document and get the
     same result each. Other columns are not read. ``length`` is 8 or more.
     """
     if length < 8:
         raise ValueError("length must be 8 or more")
-    tie = F.xxhash64("text").bitwiseAND(F.lit((1 << 25) - 1))
-    rows = docs.select(id_or_mark().alias("doc"), text_or_empty().alias("text")).withColumn("tie", tie)
+    rows = ranked_rows(docs.select(id_or_mark().alias("doc"), text_or_empty().alias("text")))
     first = (
         rows.mapInArrow(anchors(length), ANCHORS)
         .repartition("digit").sortWithinPartitions("digit", "reach", "doc", "at")
