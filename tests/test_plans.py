@@ -76,6 +76,16 @@ def test_bucketed_merge_leaves_the_base_in_place(spark, data, no_small_tables):
     assert not above, plan
 
 
+def test_lookup_reads_few_rows(spark, data):
+    found = registry.queries()["key_lookup_sorted"](spark, "/root/testdata/sf0.1")
+    rows = len(found.collect())
+    plan = found._jdf.queryExecution().executedPlan()
+    while plan.children().nonEmpty():
+        plan = plan.children().head()
+    read = plan.metrics().apply("numOutputRows").value()
+    assert 0 < rows <= read <= spark.read.parquet("/root/testdata/sf0.1/orders.parquet").count() / 10
+
+
 def test_user_aggregate_sends_buffers_only(spark, data):
     plan = plan_of(registry.queries()["user_latest"](spark, data))
     exchange = next(line for line in plan.splitlines() if "Exchange hashpartitioning(user_id" in line)

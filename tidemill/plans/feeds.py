@@ -18,6 +18,7 @@ from tidemill.session import scratch_path
 from tidemill.sources import envelope as env
 from tidemill.sources.buckets import BucketedTable
 from tidemill.sources.changelog import ChangeLog
+from tidemill.sources.lookup import rows_of_key, write_sorted
 from tidemill.sources.tables import raw_table, table, zoneless
 
 ORDER_KEY = T.StructType([T.StructField("o_orderkey", T.LongType())])
@@ -276,6 +277,14 @@ def key_range_lookup(spark, folder):
     )
 
 
+def key_lookup_sorted(spark, folder):
+    """The same look-up in a copy laid out for it."""
+    path = scratch_path(spark, "lookup")
+    orders = table(spark, folder, "orders").select("o_custkey", "o_orderkey", "o_orderpriority")
+    write_sorted(orders, path, "o_custkey", "o_orderpriority", files=16, distinct_keys=100_000)
+    return rows_of_key(spark, path, "o_custkey", 370, F.col("o_orderpriority") > "2")
+
+
 def cutoff_filter(spark, folder):
     """The filter stays on the stored column, so the scan skips row groups."""
     stored = raw_table(spark, folder, "events")
@@ -408,6 +417,8 @@ SELECT event_id, coalesce(k IN ('click', 'error', 'view'), false) AS denied,
        coalesce(k IN ('click', 'error', 'view'), true) AS denied_or_null,
        NOT coalesce(k IN ('click', 'error', 'view'), false) AS not_allowed FROM k"""),
     "key_range_lookup": (key_range_lookup, """
+SELECT o_custkey, o_orderkey, o_orderpriority FROM orders WHERE o_custkey = 370 AND o_orderpriority > '2'"""),
+    "key_lookup_sorted": (key_lookup_sorted, """
 SELECT o_custkey, o_orderkey, o_orderpriority FROM orders WHERE o_custkey = 370 AND o_orderpriority > '2'"""),
     "cutoff_filter": (cutoff_filter, """
 SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-20 00:00:00'"""),

@@ -316,6 +316,21 @@ def stream_stop_resume(spark, folder):
     )
 
 
+def ingest_topics_once(spark, folder):
+    """A topic per event type, all ingested by one query; errors come as a topic of their own only from the third part on."""
+    base = scratch_path(spark, "topics-once")
+    feed = Events(spark, folder)
+    records = inputs.envelope_of(feed.stream().where("event_type is not null")).drop("headers", "topic")
+    kind = F.from_json(F.col("value").cast("string"), inputs.PAYLOAD)["name"]
+    late = (kind == "error") & (F.col("timestamp") < F.lit("2024-01-13").cast("timestamp"))
+    records = records.withColumn("topic", F.when(late, "other").otherwise(kind))
+    for _ in feed.arrivals():
+        sinks.by_topic(records, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    written = spark.read.schema("value string, partition int, offset bigint, topic string").json(f"{base}/out")
+    payload = F.from_json(F.unbase64("value").cast("string"), inputs.PAYLOAD)
+    return written.groupBy("topic").agg(F.count(F.lit(1)).alias("n"), F.sum(payload["value"]).alias("cents"))
+
+
 def stream_progress(spark, folder):
     """Rows of each batch as its progress record tells, by input and as observed, beside those written."""
     base = scratch_path(spark, "progress")
@@ -460,6 +475,10 @@ t AS (SELECT t.window_start, t.batch_id, count(*) AS users
 SELECT window_start, string_agg(users::VARCHAR, ',' ORDER BY batch_id) AS users FROM t GROUP BY 1"""),
     "stream_stop_resume": (stream_stop_resume, """
 SELECT event_type, count(*) AS n, count(DISTINCT event_id) AS events, true AS gapless FROM events GROUP BY 1"""),
+    "ingest_topics_once": (ingest_topics_once, """
+SELECT CASE WHEN event_type = 'error' AND ts < TIMESTAMP '2024-01-13' THEN 'other' ELSE event_type END AS topic, count(*) AS n,
+       CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents
+FROM events WHERE event_type IS NOT NULL GROUP BY 1"""),
     "stream_progress": (stream_progress, f"""
 WITH b AS (SELECT epoch_us(min(ts)) AS low, epoch_us(max(ts)) AS high FROM events),
 e AS (SELECT (SELECT count(*) FROM range(1, {PARTS}) r(i) WHERE epoch_us(ts) >= low + (high - low) * i // {PARTS}) AS batch FROM events, b)

@@ -64,6 +64,17 @@ def per_topic(
     ]
 
 
+def by_topic(df: DataFrame, path: str, checkpoint: str, every: str | None = None, name: str | None = None) -> StreamingQuery:
+    """All topics by one query, read once: JSON files in a folder per ``topic``; a topic that appears later gets its own.
+
+    Records without topic go to Spark's folder for nulls.
+    """
+    writer = df.writeStream.format("json").partitionBy("topic").option("path", path).option("checkpointLocation", checkpoint)
+    if name:
+        writer = writer.queryName(name)
+    return triggered(writer, every).start()
+
+
 def each_batch(
     df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str,
     mode: str = "append", every: str | None = None, name: str | None = None,
