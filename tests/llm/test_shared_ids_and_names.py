@@ -9,7 +9,7 @@ from pathlib import Path
 import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
-from tidemill.llm import suffix_dedup
+from tidemill.llm import mixing, suffix_dedup
 from tidemill.llm.near_dedup import near_duplicates
 from tidemill.llm.suffix_dedup import repeated_substrings
 
@@ -44,6 +44,19 @@ def test_near_copies_of_either_text_of_an_id_are_linked(spark):
     assert got == {(1, 1, True), (7, 1, False), (8, 1, False), (9, 9, True)}
 
 
+def test_one_tiny_cell_changes_the_mix_little(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "source", "lang")
+    tiny = spark.createDataFrame([(10**6, "five words of another language", "src0", "xx")], docs.schema)
+    shares = []
+    for rows in (docs, docs.unionByName(tiny)):
+        cells = mixing.mixed(rows, keep=mixing.KEPT_TOKENS).agg(
+            (F.sum(F.col("_tokens") * F.col("_chance")) / F.sum("_tokens")).alias("share"), F.max("_residual").alias("residual")
+        ).first()
+        assert cells.residual < 1e-6
+        shares.append(cells.share)
+    assert abs(shares[0] - shares[1]) < 0.01 and abs(shares[0] - mixing.KEPT_TOKENS) < 0.01
+
+
 OWN = ["_key", "_kinds", "_secrets", "_s", "_topic", "_kept", "_tokens", "_draw", "score", "rejected", "lang_pred", "_id", "_row", "_hash",
        "_nr", "_text", "h", "rep", "node", "key", "ids", "begins", "_chance", "_source", "_lang", "_weight", "_none"]
 

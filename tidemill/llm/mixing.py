@@ -14,8 +14,12 @@ from tidemill.session import cut
 WORD = r"[^\x09-\x0D\x20]+"
 #: Topics by the first pattern that the text holds; "other" if none does.
 TOPICS = {"legal": r"(?i)licen[cs]e|copyright|warranty", "contact": r"[A-Za-z0-9._-]@[A-Za-z0-9-]+\.|https?://"}
-#: Rounds of scaling, and how many are planned together.
-ROUNDS, ROUNDS_AT_ONCE = 6, 3
+#: Rounds of scaling that are planned together, and the most there are: margins that contradict each other never settle.
+ROUNDS_AT_ONCE, ROUNDS = 3, 60
+#: Scaling ends once every margin is as near to its target, in parts of it.
+TOLERANCE = 1e-13
+#: Share of all tokens that is expected to stay, however small a cell is.
+KEPT_TOKENS = 0.5
 
 
 def topic_of(text: Column, topics: Mapping[str, str] = TOPICS) -> Column:
@@ -34,10 +38,12 @@ def even_targets(cells: DataFrame, margin: str, power: float = 0.8) -> DataFrame
 
 
 def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """Cells (margins, ``tokens``) with ``weight``: the tokens scaled until each margin has its target share.
+    """Cells (margins, ``tokens``) with ``weight`` and ``residual``: the tokens scaled until each margin has its target
+    share, and how far the worst margin is still off, in parts of its target.
 
-    Each round scales the cells to every margin in turn. A margin's value without a target keeps its total. Cells are
-    combinations of margin values, not documents; their table is cut every few rounds, so plans stay short.
+    Each round scales the cells to every margin in turn, until all are within ``TOLERANCE`` or after ``rounds``. A
+    margin's value without a target keeps its total. Cells are combinations of margin values, not documents; their table
+    is cut every few rounds, so plans stay short.
     """
     total = cells.agg(F.sum("tokens").cast("double").alias("_total"))  # one row
     current = cells.withColumn("weight", F.col("tokens").cast("double"))
@@ -46,7 +52,7 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUND
             F.col("value").alias("_value"), (F.col("share") * F.col("_total")).alias(f"_goal_{margin}")
         )
         current = current.join(goal, F.col(margin).eqNullSafe(F.col("_value")), "left").drop("_value")
-    current = cut(current)
+    current, residual = cut(current), float("inf")
     for done in range(1, rounds + 1):
         for margin in targets:
             sums, goal = F.sum("weight").over(Window.partitionBy(margin)), F.col(f"_goal_{margin}")
@@ -55,7 +61,20 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUND
             )
         if done % ROUNDS_AT_ONCE == 0 or done == rounds:
             current = cut(current)
-    return current.select(*cells.columns, "weight")
+            residual = _residual(current, list(targets))
+            if residual < TOLERANCE:
+                break
+    return current.select(*cells.columns, "weight", F.lit(residual).alias("residual"))
+
+
+def _residual(cells: DataFrame, margins: Sequence[str]) -> float:
+    """The largest distance of a margin's sum from its target, in parts of the target; values without tokens don't count."""
+    off = []
+    for margin in margins:
+        sums, goal = F.sum("weight").over(Window.partitionBy(margin)), F.col(f"_goal_{margin}")
+        off.append(F.when((sums > 0) & (goal > 0), F.abs(sums - goal) / goal))
+    worst = cells.select(F.greatest(*off, F.lit(0.0)).alias("off")).agg(F.max("off")).first()[0]
+    return worst or 0.0
 
 
 def chance(key: Column, salt: str) -> Column:
@@ -95,7 +114,7 @@ def mixed(
     Null source, lang and topics are values of their own. Null and empty texts have no tokens and topic "other"; a cell
     without tokens keeps its documents. Rows of equal doc_id share a draw; a null doc_id draws as "null".
     """
-    added = ["_source", "_lang", "_topic", "_tokens", "_weight", "_chance", "_draw", "_kept"]
+    added = ["_source", "_lang", "_topic", "_tokens", "_weight", "_chance", "_residual", "_draw", "_kept"]
     names = [c for c in docs.columns if c not in added]
     column = lambda c: F.col(f"`{c}`") if c in docs.columns else F.lit(None).cast("string")
     text = text_or_empty()
@@ -116,7 +135,8 @@ def mixed(
     else:
         weighted = budgeted(weighted, keep)
     rates = weighted.select(
-        F.col("source").alias("_s"), F.col("lang").alias("_l"), F.col("topic").alias("_t"), F.col("weight").alias("_weight"), "_chance"
+        F.col("source").alias("_s"), F.col("lang").alias("_l"), F.col("topic").alias("_t"), F.col("weight").alias("_weight"), "_chance",
+        F.col("residual").alias("_residual"),
     )
     draw = chance(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), salt)
     same = F.col("_source").eqNullSafe(F.col("_s")) & F.col("_lang").eqNullSafe(F.col("_l")) & F.col("_topic").eqNullSafe(F.col("_t"))
@@ -126,8 +146,9 @@ def mixed(
     )
 
 
-def mix_sql(rounds: int = ROUNDS, salt: str = "mix", topics: Mapping[str, str] = TOPICS, power: float = 0.8) -> str:
-    """DuckDB: the same result over ``documents``, as ``doc_id, topic, tokens, weight, chance, kept``."""
+def mix_sql(rounds: int = 24, salt: str = "mix", topics: Mapping[str, str] = TOPICS, power: float = 0.8, keep: float = KEPT_TOKENS) -> str:
+    """DuckDB: the same result over ``documents``, as ``doc_id, topic, tokens, weight, chance, kept, settled``, by a number
+    of rounds that is enough for their margins to settle."""
     case = " ".join(f"WHEN regexp_matches(coalesce(text, ''), '{p}') THEN '{n}'" for n, p in topics.items())
     parts = [
         f"marked AS (SELECT doc_id, source, lang, CASE {case} ELSE 'other' END AS topic, "
@@ -151,12 +172,18 @@ def mix_sql(rounds: int = ROUNDS, salt: str = "mix", topics: Mapping[str, str] =
             )
             last = name
     parts.append(
-        f"rates AS (SELECT source, lang, topic, weight, coalesce((weight / nullif(tokens, 0)) / max(weight / nullif(tokens, 0)) OVER (), 1.0) "
-        f"AS chance FROM {last})"
+        f"cells AS (SELECT *, CASE WHEN tokens > 0 THEN weight / tokens END AS ratio FROM {last}), "
+        f"whole AS (SELECT sum(tokens) * {keep} AS budget, sum(CASE WHEN tokens > 0 THEN weight END) AS weights FROM cells), "
+        "scaled AS (SELECT cells.*, (budget - coalesce(sum(tokens) OVER shortest, 0)) / nullif(weights - coalesce(sum(weight) OVER shortest, 0), 0) AS scale "
+        "FROM cells, whole WINDOW shortest AS (ORDER BY ratio DESC NULLS LAST, source NULLS FIRST, lang NULLS FIRST, topic "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), "
+        "settled AS (SELECT max(scale) AS s FROM scaled WHERE scale * ratio < 1), "
+        "rates AS (SELECT source, lang, topic, weight, CASE WHEN ratio IS NULL THEN 1.0 WHEN weight > 0 THEN coalesce(least(1.0, s * ratio), 1.0) ELSE 0.0 END "
+        "AS chance FROM scaled, settled)"
     )
     draw = f"CAST(('0x' || substr(md5('{salt}' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 12)) AS BIGINT) / 281474976710656.0"
     return (
-        f"WITH {', '.join(parts)} SELECT doc_id, topic, m.tokens, round(weight, 3) AS weight, round(chance, 6) AS chance, {draw} < chance AS kept "
+        f"WITH {', '.join(parts)} SELECT doc_id, topic, m.tokens, round(weight, 3) AS weight, round(chance, 6) AS chance, {draw} < chance AS kept, true AS settled "
         "FROM marked m JOIN rates r ON m.source IS NOT DISTINCT FROM r.source AND m.lang IS NOT DISTINCT FROM r.lang AND m.topic = r.topic"
         .replace("doc_id, topic,", "doc_id, m.topic,")
     )

@@ -81,9 +81,11 @@ def op9_passages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_mix(spark: SparkSession, folder: str) -> DataFrame:
-    return mixing.mixed(documents(spark, folder).select("doc_id", "text", "source", "lang")).select(
+    docs = documents(spark, folder).select("doc_id", "text", "source", "lang")
+    return mixing.mixed(docs, keep=mixing.KEPT_TOKENS).select(
         "doc_id", F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"), F.round("_weight", 3).alias("weight"),
         F.round("_chance", 6).alias("chance"), F.col("_kept").alias("kept"),
+        (F.col("_residual") < 1e-6).alias("settled"),
     )
 
 
