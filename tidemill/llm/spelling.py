@@ -197,6 +197,7 @@ def variant_groups(words: DataFrame, ratio: int = 5) -> DataFrame:
     their code points. Counts grow at least ``ratio``-fold along the forms, so roots are found in a few doublings.
     """
     words = words.where("word <> '' and n is not null").groupBy("word").agg(F.sum("n").alias("n"))
+    words = stored(words, "spelling-words")
     near = stored(neighbours(words), "spelling-near")
     form = F.when(F.col("best_n") >= ratio * F.col("n"), F.col("best_id"))
     named = near.select("word", "n", "id", "n_near", form.alias("form_id"), F.when(form.isNotNull(), F.col("best_n")).alias("form_n"))
