@@ -15,9 +15,9 @@ WORD = r"[^\x09-\x0D\x20]+"
 #: Topics by the first pattern that the text holds; "other" if none does.
 TOPICS = {"legal": r"(?i)licen[cs]e|copyright|warranty", "contact": r"[A-Za-z0-9._-]@[A-Za-z0-9-]+\.|https?://"}
 #: Rounds of scaling that are planned together, and the most there are: margins that contradict each other never settle.
-ROUNDS_AT_ONCE, ROUNDS = 3, 60
+ROUNDS_AT_ONCE, ROUNDS = 3, 24
 #: Scaling ends once every margin is as near to its target, in parts of it.
-TOLERANCE = 1e-13
+TOLERANCE = 1e-9
 #: Share of all tokens that is expected to stay, however small a cell is.
 KEPT_TOKENS = 0.5
 
@@ -146,9 +146,9 @@ def mixed(
     )
 
 
-def mix_sql(rounds: int = 24, salt: str = "mix", topics: Mapping[str, str] = TOPICS, power: float = 0.8, keep: float = KEPT_TOKENS) -> str:
-    """DuckDB: the same result over ``documents``, as ``doc_id, topic, tokens, weight, chance, kept, settled``, by a number
-    of rounds that is enough for their margins to settle."""
+def mix_sql(rounds: int = ROUNDS, salt: str = "mix", topics: Mapping[str, str] = TOPICS, power: float = 0.8, keep: float = KEPT_TOKENS) -> str:
+    """DuckDB: the same result over ``documents``, as ``doc_id, topic, tokens, weight, chance, kept, settled``, from
+    the same round."""
     case = " ".join(f"WHEN regexp_matches(coalesce(text, ''), '{p}') THEN '{n}'" for n, p in topics.items())
     parts = [
         f"marked AS (SELECT doc_id, source, lang, CASE {case} ELSE 'other' END AS topic, "
@@ -161,7 +161,7 @@ def mix_sql(rounds: int = 24, salt: str = "mix", topics: Mapping[str, str] = TOP
             f"g_{m} AS (SELECT value, pow(t, {power}) / sum(pow(t, {power})) OVER () * (SELECT sum(tokens) FROM c0) AS goal "
             f"FROM (SELECT {m} AS value, sum(tokens) AS t FROM c0 GROUP BY 1))"
         )
-    last = "c0"
+    last, ends = "c0", []
     for i in range(rounds):
         for m in ("source", "lang", "topic"):
             name = f"c{i}_{m}"
@@ -171,6 +171,18 @@ def mix_sql(rounds: int = 24, salt: str = "mix", topics: Mapping[str, str] = TOP
                 f"FROM {last} JOIN g_{m} ON {m} IS NOT DISTINCT FROM value)"
             )
             last = name
+        if (i + 1) % ROUNDS_AT_ONCE == 0 or i == rounds - 1:
+            ends.append((i, last))
+            off = " UNION ALL ".join(
+                f"SELECT abs(sum(weight) - any_value(goal)) / any_value(goal) AS off FROM {last} JOIN g_{m} ON {m} IS NOT DISTINCT FROM value "
+                f"GROUP BY {m} HAVING sum(weight) > 0 AND any_value(goal) > 0" for m in ("source", "lang", "topic")
+            )
+            parts.append(f"off_{i} AS MATERIALIZED (SELECT coalesce(max(off), 0.0) AS off FROM ({off}))")
+    # The first block of rounds after which all margins are near enough, or the last one.
+    blocks = " UNION ALL ".join(f"SELECT {i} AS nr, off FROM off_{i}" for i, _ in ends)
+    parts.append(f"ended AS MATERIALIZED (SELECT coalesce(min(nr) FILTER (WHERE off < {TOLERANCE}), {ends[-1][0]}) AS nr FROM ({blocks}))")
+    parts.append("raked AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT {name}.* FROM {name}, ended WHERE nr = {i}" for i, name in ends) + ")")
+    last = "raked"
     parts.append(
         f"cells AS (SELECT *, CASE WHEN tokens > 0 THEN weight / tokens END AS ratio FROM {last}), "
         f"whole AS (SELECT sum(tokens) * {keep} AS budget, sum(CASE WHEN tokens > 0 THEN weight END) AS weights FROM cells), "
