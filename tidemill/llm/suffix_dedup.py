@@ -327,7 +327,8 @@ def ranked_rows(rows: DataFrame) -> DataFrame:
     """
     shared = cut(rows.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc"))
     if shared.isEmpty():
-        return rows.withColumn("tie", F.lit(0).cast("bigint"))
+        # Always 0 and never null, but no constant: Spark would leave a constant out of the join keys and shuffle the texts once more.
+        return rows.withColumn("tie", F.xxhash64("doc").bitwiseAND(F.lit(0).cast("bigint")))
     hashes = {"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit(1), F.col("text"))}
     distinct = rows.join(shared, "doc", "left_semi").select("doc", *[h.alias(c) for c, h in hashes.items()]).distinct()
     ordered = cut(ordered_index(distinct, ["doc", "h1", "h2"]))
