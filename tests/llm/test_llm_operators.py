@@ -1,9 +1,11 @@
 """The document operators against brute force, the piece library and held-out labels, with awkward rows."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
+from collections import Counter
 
 import corpus_pipeline
 import numpy as np
@@ -341,7 +343,7 @@ def test_repeated_passages(spark):
     }
     rows = spark.createDataFrame([(d, " ".join(w)) for d, w in texts.items()], "doc_id long, text string")
     got = {r.doc_id: r for r in repeated_passages(rows).collect()}
-    assert {d: r.sources for d, r in got.items()} == {1: [], 2: [], 3: [1], 4: [2], 5: [2], 6: [], 7: [], 8: [1]}
+    assert {d: r.sources for d, r in got.items()} == {1: [], 2: [], 3: [1], 4: [2], 5: [2, 4], 6: [], 7: [], 8: [1]}
     assert got[3].n_repeated_words == 80 and got[8].n_repeated_words == 80
     assert " ".join(texts[3]).encode()[got[3].passages[0].begin : got[3].passages[0].end].decode() == " ".join(passage)
     assert got[4].n_repeated_words >= 80 and got[5].n_repeated_words >= 90
@@ -382,6 +384,73 @@ def test_passages_within_other_chains(spark):
     assert got[8].sources == [6, 7] and got[8].n_links == 2 and got[8].n_repeated_words == 70
 
 
+def test_recall_of_edited_passages(spark):
+    """Pairs whose edited passage is long and alike enough by its known alignment are found at 50 to 100 words."""
+    rng = random.Random(5)
+    fresh = lambda n: [f"v{rng.randrange(10**9)}" for _ in range(n)]
+
+    def edited(base, edits):
+        places, out, kept = set(rng.sample(range(len(base)), edits)), [], []
+        for i, word in enumerate(base):
+            kind = rng.randrange(3) if i in places else 2
+            if i in places and kind != 1:
+                out += fresh(1)
+            if kind == 2:
+                kept.append((len(out), i))
+                out.append(word)
+        return out, kept
+
+    texts, kinds = [], []
+    for size, share in itertools.product((50, 60, 80, 100), (0.08, 0.12, 0.16)):
+        pairs = 0
+        while pairs < 100:
+            base = fresh(size)
+            other, kept = edited(base, round(size * share))
+            if alike_parts(*(np.array(c) for c in zip(*kept))):
+                texts += [" ".join(fresh(60) + base + fresh(60)), " ".join(fresh(70) + other + fresh(40))]
+                kinds.append((size, share))
+                pairs += 1
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in repeated_passages(rows).select("doc_id", "sources", "class_id", "class_docs").collect()}
+    found = Counter(kind for pair, kind in enumerate(kinds) if got[2 * pair + 1].sources == [2 * pair])
+    assert min(found[kind] for kind in set(kinds)) >= 95, found
+    assert all(r.class_id == (r.sources or [r.doc_id])[0] and r.class_docs <= 2 for r in got.values())
+
+
+def test_passage_classes(spark):
+    """All documents of a passage are one class, equal texts included; a passage among halves of it is found."""
+    rng = random.Random(11)
+    fresh = lambda n: [f"v{rng.randrange(10**9)}" for _ in range(n)]
+    shared, whole, short = fresh(60), fresh(80), fresh(20)
+    texts = {d: fresh(30) + shared + fresh(30) for d in range(1, 7)}
+    texts |= {11: fresh(40) + whole[:40] + fresh(9), 12: fresh(40) + whole[40:] + fresh(9), 13: fresh(9) + whole + fresh(50)}
+    texts |= {14: fresh(40) + whole[:40] + fresh(9), 15: fresh(40) + whole[40:] + fresh(9), 16: fresh(70) + whole + fresh(5)}
+    texts |= {21: short, 22: short, 31: texts[3], 32: texts[3], 40: []}
+    rows = [(d, " ".join(w)) for d, w in texts.items()] + [(31, " ".join(texts[31])), (50, None)]
+    got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows) and len({str(r) for r in got if r.doc_id == 31}) == 1
+    by_id = {r.doc_id: r for r in got}
+    assert {d: (by_id[d].class_id, by_id[d].class_docs) for d in by_id} == {
+        **{d: (1, 8) for d in (1, 2, 3, 4, 5, 6, 31, 32)}, 13: (13, 2), 16: (13, 2), **{d: (d, 1) for d in (11, 12, 14, 15, 21, 22, 40, 50)}
+    }
+    assert all(by_id[d].n_repeated_words == 60 for d in range(2, 7)) and by_id[16].n_repeated_words == 80
+    assert by_id[32].sources == [3] and by_id[32].n_repeated_words == 120 and by_id[32].passages[0].alike == 1.0
+
+
+def test_passages_of_shared_ids_and_long_texts(spark):
+    """Rows without an id are told apart; a text of millions of bytes is aligned like any other."""
+    rng = random.Random(12)
+    fresh = lambda n: [f"v{rng.randrange(10**9)}" for _ in range(n)]
+    part, long = fresh(70), fresh(300_000)
+    texts = [(None, " ".join(fresh(80))) for _ in range(2000)] + [(None, " ".join(fresh(20) + part)), (3, " ".join(part + fresh(20)))]
+    texts += [(4, " ".join(long)), (5, " ".join(fresh(9) + long[250_000:250_055] + fresh(9))), (6, "a " * 100_000), (7, "")]
+    got = repeated_passages(spark.createDataFrame(texts, "doc_id long, text string").withColumn("class_id", F.lit("x"))).collect()
+    by_id = {r.doc_id: r for r in got if r.doc_id is not None}
+    assert all(r.sources == [] and r.class_id is None for r in got if r.doc_id is None)
+    assert by_id[3].sources == [None] and by_id[3].n_repeated_words == 70 and by_id[3].class_id is None and by_id[3].class_docs == 2
+    assert by_id[5].sources == [4] and by_id[5].n_repeated_words == 55 and by_id[6].sources == [] and by_id[7].n_words == 0
+
+
 def test_alike_parts_cover_all_passages():
     rng = random.Random(9)
     for _ in range(150):
