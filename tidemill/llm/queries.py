@@ -30,12 +30,11 @@ def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_piece_encoding(spark: SparkSession, folder: str) -> DataFrame:
     model = piece_model()
-    spans = F.transform(F.arrays_zip("begins", "ends"), lambda s: F.concat_ws(":", s["begins"], s["ends"]))
     encoded = encode_documents(documents(spark, folder).select("doc_id", "text"), model, spans=True).select(
-        "doc_id", "ids", F.sha2(F.concat_ws(",", spans), 256).alias("spans_sha256")
+        "doc_id", "ids", F.xxhash64("begins", "ends").alias("spans_xxhash64")
     )
     return decode_documents(encoded, model).select(
-        "doc_id", "spans_sha256",
+        "doc_id", "spans_xxhash64",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
