@@ -9,6 +9,7 @@ from streams import FileFeed, LiveRun, run_all
 from tidemill.operators import distinct
 from tidemill.plans import streamed
 from tidemill.plans.inputs import event_segments
+from tidemill.session import use_rocksdb
 from tidemill.sources import files
 from tidemill.sources.generate import rate_stream
 from tidemill.sources.changelog import ChangeLog
@@ -232,6 +233,23 @@ def test_idle_counts(spark, tmp_path):
     }
 
 
+def test_silence_counts(spark, tmp_path):
+    """Rows that come before a key's timer are one count, over a restart too; a key that comes back after it starts anew."""
+    use_rocksdb(spark)
+    feed = FileFeed(spark, tmp_path / "in", "name string")
+
+    def run(rows, idle_seconds, quiet):
+        feed.add(rows)
+        counts = idle.silence_counts(spark.readStream.schema("name string").parquet(feed.folder), "name", idle_seconds)
+        writer = counts.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp"))
+        sinks.run_until_quiet(writer, quiet, 120)
+        return sorted((tuple(r) for r in spark.read.schema(counts.schema).parquet(str(tmp_path / "out")).collect()), key=repr)
+
+    assert run([("a",), ("b",), ("a",), (None,)], 3600, 0) == []
+    assert run([("a",)] * 30 + [("c",)], 2, 2) == [("a", 32), ("c", 1)]  # the others' timers have not fired
+    assert run([("a",), ("b",), (None,)], 2, 2) == [("a", 1), ("a", 32), ("b", 2), ("c", 1), (None, 2)]
+
+
 def test_registered_streams_run_over_several_batches(spark, data):
     feed = streamed.Events(spark, data)
     rows = streamed._by_batch(feed, flows.running_count(feed.stream(), "event_type"))

@@ -195,6 +195,20 @@ def stream_idle_counts(spark, folder):
     return zoneless(_emitted(feed, idle.idle_counts(feed.stream(), "user_id", "ts", "6 hours", "1 hour")))
 
 
+def stream_silence_counts(spark, folder):
+    """Rows per user by processing-time timers: parts come in quick succession, and all timers have fired at the end.
+
+    Where a run takes longer than the timers wait, a user's rows are emitted in several counts; their sum is the result.
+    """
+    use_rocksdb(spark)
+    feed, base, idle_seconds = Events(spark, folder), scratch_path(spark, "stream"), 5
+    counts = idle.silence_counts(feed.stream(), "user_id", idle_seconds)
+    for part in feed.arrivals():
+        writer = counts.writeStream.format("parquet").option("path", f"{base}/rows").option("checkpointLocation", f"{base}/checkpoint")
+        sinks.run_until_quiet(writer, idle_seconds if part == len(feed.ranges) - 1 else 0, 1800)
+    return spark.read.schema(counts.schema).parquet(f"{base}/rows").groupBy("user_id").agg(F.sum("count").alias("n"))
+
+
 def stream_latest_map(spark, folder):
     feed = Events(spark, folder)
     latest = flows.latest_map(feed.stream(), "user_id", "cents", ["ts", "event_id"])
@@ -495,6 +509,7 @@ SELECT 'parts' AS name, count(*) AS n, CAST({3 * PARTS} AS BIGINT) AS clusters,
     "stream_late_rows": (stream_late_rows, _LATE),
     "stream_idle_counts": (stream_idle_counts, f"""
 SELECT * FROM ({timed.QUERIES["idle_sessions"][1]}) WHERE session_end + INTERVAL 6 HOUR <= {_CLOSED}"""),
+    "stream_silence_counts": (stream_silence_counts, "SELECT user_id, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1"),
     "stream_ingest_json": (stream_ingest_json, """
 SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, CAST(hour(ts) AS INTEGER) AS hour, CAST(event_id % 3 AS INTEGER) AS partition,
        count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents, max(event_id // 3) AS last_offset

@@ -1,9 +1,15 @@
-"""Row counts per key and activity session, emitted when the key has fallen silent."""
+"""Row counts per key and activity session, emitted when the key has fallen silent, by event time or by the clock."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 
 def idle_counts(df: DataFrame, key: str, ts: str, idle: str = "10 seconds", delay: str = "10 seconds") -> DataFrame:
@@ -15,3 +21,53 @@ def idle_counts(df: DataFrame, key: str, ts: str, idle: str = "10 seconds", dela
     session = F.session_window(ts, idle).alias("session")
     counted = df.withWatermark(ts, delay).groupBy(session, key).agg(F.count(F.lit(1)).alias("count"), F.max(ts).alias("session_end"))
     return counted.select(key, F.col("session.start").alias("session_start"), "session_end", "count")
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per key and Arrow batch, so that a hot key sends few rows through the shuffle."""
+    for batch in batches:
+        counts = pa.Table.from_batches([batch]).group_by("key").aggregate([([], "count_all")])
+        yield from counts.rename_columns(["key", "count"]).to_batches()
+
+
+class _Silence(StatefulProcessor):
+    """State per key: rows so far, and one timer at which the key counts as silent."""
+
+    def __init__(self, idle_millis: int, out: str):
+        self.idle_millis, self.out = idle_millis, out
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._rows = handle.getValueState("rows", "n bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        seen = self._rows.get()[0] if self._rows.exists() else 0
+        self._rows.update((seen + sum(int(part["count"].sum()) for part in rows),))
+        for millis in list(self._handle.listTimers()):
+            self._handle.deleteTimer(millis)
+        self._handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_millis)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self._rows.exists():
+            (n,) = self._rows.get()
+            self._rows.clear()
+            yield pd.DataFrame({self.out: pd.Series([key[0]], dtype=object), "count": [n]})
+
+    def close(self) -> None:
+        pass
+
+
+def silence_counts(df: DataFrame, key: str, idle_seconds: float) -> DataFrame:
+    """``key, count`` once a key has had no row for ``idle_seconds`` of processing time; its state ends with it. Append mode.
+
+    Each batch with rows of a key moves the key's timer. Timers fire in the batches of a processing-time trigger, with
+    or without new rows; with ``availableNow`` such a query does not end (see :func:`tidemill.streaming.sinks.run_until_quiet`).
+    Rows are counted before the shuffle. Needs the RocksDB state store.
+    """
+    kind = df.schema[key].dataType
+    counted = df.select(F.col(key).alias("key")).mapInArrow(
+        _counted, T.StructType().add("key", kind).add("count", T.LongType())
+    )
+    out = T.StructType().add(key, kind).add("count", T.LongType())
+    return counted.groupBy("key").transformWithStateInPandas(_Silence(round(idle_seconds * 1000), key), out, "Append", "ProcessingTime")

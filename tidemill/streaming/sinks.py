@@ -6,6 +6,7 @@ import json
 import threading
 import time
 from collections.abc import Callable, Mapping, Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -171,6 +172,39 @@ def run_batches(writer: DataStreamWriter, batches: int, timeout: float) -> None:
         spark.streams.removeListener(listener)
 
 
+def _millis(progress) -> int:
+    return round(datetime.fromisoformat(_as_dict(progress)["timestamp"]).timestamp() * 1000)
+
+
+def run_until_quiet(writer: DataStreamWriter, quiet_seconds: float, timeout: float, every: str = "1 second") -> None:
+    """Run a query, a batch ``every`` so long, until one begins without rows over ``quiet_seconds`` after the last with rows.
+
+    By then all timers of at most that long have fired. For queries that make batches without new rows, as those with
+    processing-time timers do; its checkpoint lets the next run go on. Errors and timeouts as in :func:`run_batches`.
+    """
+    query = writer.trigger(processingTime=every).start()
+    try:
+        deadline, last, done = time.monotonic() + timeout, None, -1
+        while True:
+            for progress in map(_as_dict, query.recentProgress):
+                if progress["batchId"] <= done:
+                    continue
+                done, begun = progress["batchId"], _millis(progress)
+                if last is None or progress["numInputRows"]:
+                    last = begun
+                elif begun > last + quiet_seconds * 1000:
+                    return
+            if not query.isActive:
+                if query.exception() is not None:
+                    raise query.exception()
+                return
+            if time.monotonic() > deadline:
+                raise TimeoutError(f"the query has not been quiet for {quiet_seconds} s within {timeout} s")
+            time.sleep(0.2)
+    finally:
+        query.stop()
+
+
 def _as_dict(progress) -> Mapping:
     return progress if isinstance(progress, Mapping) else json.loads(progress.json)
 
