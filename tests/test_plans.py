@@ -91,3 +91,11 @@ def test_user_aggregate_sends_buffers_only(spark, data):
     exchange = next(line for line in plan.splitlines() if "Exchange hashpartitioning(user_id" in line)
     below = plan.split(exchange, 1)[1]
     assert plan.count("Exchange") == 1 and "MapInArrow" in below and "_buffer" in below
+
+
+def test_user_sets_meet_before_they_become_rows_per_segment(spark, data, no_small_tables):
+    plan = plan_of(registry.queries()["user_state_merge"](spark, data))
+    assert plan.count("Exchange hashpartitioning") == 2, plan
+    above, below = plan.split("Generate explode(", 1)
+    assert "user_id" not in above.split("HashAggregate", 1)[1], plan
+    assert below.count("functions=[bit_or") + below.count("functions=[partial_bit_or") == 2 and "Union" in below, plan

@@ -21,18 +21,15 @@ _BITS = 63
 USER_ROWS = "user_type string, window_s int, start_time timestamp, user_id string"
 
 
-def segment_users(
+def user_bits(
     df: DataFrame, segments: Sequence[Segment], windows: Sequence[int], ts: str, user: str
 ) -> DataFrame:
-    """Distinct ``user_type, window_s, start_time, user_id`` rows in one pass.
+    """``window_s, start_time, user_id`` and the segments of each event, one bit each, 63 to a column.
 
-    The segments an event belongs to are one bit each, 63 to a column. Bits are merged per
-    (window, user) map-side, and only then does a row become one row per
-    segment; events are copied per window width, not per series. Events
-    without a user id are not counted.
+    Events are copied per window width, not per series; those without a user id are left out. Rows repeat: see
+    :func:`distinct_users`.
     """
-    words = [segments[at:at + _BITS] for at in range(0, len(segments), _BITS)]
-    names = [f"_bits{i}" for i in range(len(words))]
+    words = _words(segments)
 
     def bits(part: Sequence[Segment]) -> Column:
         held = F.lit(0).cast("bigint")
@@ -43,23 +40,54 @@ def segment_users(
     starts = F.array(*[
         F.struct(F.lit(w).alias("window_s"), time_bucket(F.col(ts), w).alias("start_time")) for w in windows
     ])
-    merged = (
+    return (
         df.select(
-            F.col(user).cast("string").alias("user_id"), *[bits(part).alias(n) for n, part in zip(names, words)],
+            F.col(user).cast("string").alias("user_id"), *[bits(part).alias(n) for n, part in words.items()],
             F.explode(starts).alias("w"),
         )
-        .where(F.col("user_id").isNotNull() & (F.greatest(F.lit(0), *names) > 0))
-        .groupBy("w.window_s", "w.start_time", "user_id")
-        .agg(*[F.bit_or(n).alias(n) for n in names])
+        .where(F.col("user_id").isNotNull() & (F.greatest(F.lit(0), *words) > 0))
+        .select("w.window_s", "w.start_time", "user_id", *words)
     )
 
+
+def kept_bits(users: DataFrame, segments: Sequence[Segment]) -> DataFrame:
+    """Rows of :func:`segment_users` as those of :func:`user_bits`."""
+    def bit(part: Sequence[Segment]) -> Column:
+        held = F.lit(0).cast("bigint")
+        for position, segment in enumerate(part):
+            held = F.when(F.col("user_type") == segment.name, F.lit(1 << position).cast("bigint")).otherwise(held)
+        return held
+
+    return users.select("window_s", "start_time", "user_id", *[bit(part).alias(n) for n, part in _words(segments).items()])
+
+
+def distinct_users(bits: DataFrame, segments: Sequence[Segment]) -> DataFrame:
+    """Distinct ``user_type, window_s, start_time, user_id`` rows of :func:`user_bits`, of one or of several sets of users.
+
+    Bits are merged per (window, user), map-side too, and only then does a row become one row per segment: a task holds
+    one row per window and user, whatever the segments, and none of them twice.
+    """
+    words = _words(segments)
+    merged = bits.groupBy("window_s", "start_time", "user_id").agg(*[F.bit_or(n).alias(n) for n in words])
+
     def named(column: str, part: Sequence[Segment]) -> Column:
         return F.filter(F.array(*[F.lit(s.name) for s in part]), lambda _, i: F.getbit(F.col(column), i) == 1)
 
-    held = F.concat(*[named(n, part) for n, part in zip(names, words)])
+    held = F.concat(*[named(n, part) for n, part in words.items()])
     return merged.select(F.explode(held).alias("user_type"), "window_s", "start_time", "user_id")
 
 
+def _words(segments: Sequence[Segment]) -> dict[str, Sequence[Segment]]:
+    return {f"_bits{i}": segments[at:at + _BITS] for i, at in enumerate(range(0, len(segments), _BITS))}
+
+
+def segment_users(
+    df: DataFrame, segments: Sequence[Segment], windows: Sequence[int], ts: str, user: str
+) -> DataFrame:
+    """Distinct ``user_type, window_s, start_time, user_id`` rows in one pass; events without a user id are not counted."""
+    return distinct_users(user_bits(df, segments, windows, ts, user), segments)
+
+
 def count_users(users: DataFrame) -> DataFrame:
     """Users per window; expects distinct rows, so a plain count is enough."""
     return users.groupBy(*WINDOW).agg(F.count(F.lit(1)).alias("distinct_users"))
@@ -80,9 +108,12 @@ def union_series(frames: Sequence[DataFrame]) -> DataFrame:
     return merged
 
 
-def merge_users(new: DataFrame, kept: DataFrame) -> DataFrame:
-    """New and kept user rows as one set: what a full outer join of user sets gives."""
-    return kept.select(new.columns).union(new).distinct()
+def merge_users(new: DataFrame, kept: DataFrame, segments: Sequence[Segment]) -> DataFrame:
+    """New and kept rows of :func:`user_bits` as one set of users: what a full outer join of user sets gives.
+
+    Both meet before they are aggregated, in one shuffle.
+    """
+    return distinct_users(kept.unionByName(new), segments)
 
 
 def latest_windows(windows: DataFrame) -> DataFrame:

@@ -43,9 +43,11 @@ def user_state_merge(spark, folder):
     middle = F.lit("2024-01-16 12:00:00").cast("timestamp")
 
     def users(half):
-        return distinct.segment_users(half, event_segments(), WIDTHS, "ts", "user_id")
+        return distinct.user_bits(half, event_segments(), WIDTHS, "ts", "user_id")
 
-    merged = distinct.merge_users(users(rows.where(F.col("ts") >= middle)), users(rows.where(F.col("ts") < middle)))
+    merged = distinct.merge_users(
+        users(rows.where(F.col("ts") >= middle)), users(rows.where(F.col("ts") < middle)), event_segments()
+    )
     return zoneless(distinct.count_users(merged))
 
 

@@ -66,9 +66,10 @@ class DistinctCounts:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         kept = self.state.previous(batch_id)
-        new = distinct.segment_users(batch, self.segments, self.widths, self.ts, self.user)
-        on_time = distinct.drop_behind(new, distinct.latest_windows(kept))
-        merged = distinct.merge_users(on_time, kept).persist()
+        new = distinct.user_bits(batch, self.segments, self.widths, self.ts, self.user)
+        users = distinct.merge_users(new, distinct.kept_bits(kept, self.segments), self.segments)
+        # Kept rows are of the latest windows, so only new ones can be behind.
+        merged = distinct.drop_behind(users, distinct.latest_windows(kept)).persist()
         try:
             self.counts.write(batch_id, distinct.count_users(merged))
             counts = self.counts.read(batch_id)
