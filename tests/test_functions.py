@@ -1,5 +1,7 @@
 import datetime as dt
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -178,3 +180,14 @@ def test_sets(spark):
 def test_empty_typed_table(spark):
     empty = rows(spark, [], CDC_PAYLOAD)
     assert empty.count() == 0 and empty.columns == ["oc", "ns", "pk", "va"]
+
+
+def test_split_words_makes_no_python_texts():
+    lines = pa.array([" a \x0b\tb\n", None, "", " \t ", "é \u00a0x"] + ["word " * 300] * 10_000)
+    tracemalloc.start()
+    words = userfn.split_words.func(lines.slice(1))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert words[:4].to_pylist() == [[], [], [], ["é", "\u00a0x"]] and len(words[10_003]) == 300
+    assert userfn.split_words.func(lines.slice(0, 1)).to_pylist() == [["a", "b"]]
+    assert most < 100e6  # three million words
