@@ -3,6 +3,7 @@
 import random
 from bisect import bisect_left
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from streams import FileFeed
@@ -165,3 +166,19 @@ def test_bounded_run_raises_what_the_query_raised(spark, tmp_path):
     writer = feed.stream().writeStream.option("checkpointLocation", str(tmp_path / "cp")).foreachBatch(fail)
     with pytest.raises(Exception, match="no good"):
         sinks.run_batches(writer, 1, 60)
+
+
+def test_newest_of_many_keys_at_once(monkeypatch):
+    """The same as key by key, nulls and ties included."""
+    draw = random.Random(3)
+    some = [[draw.choice([None, *range(6)]) for _ in range(3)] for _ in range(3000)]
+    rows = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*some)], names=["v", "t", "i"])
+    starts = [0, *sorted(draw.sample(range(1, 3000), 900))]
+    held = [draw.choice([None, (7, 5, 1), (8, 0, 0)]) for _ in starts]
+    want = []
+    for buffer, lo, hi in zip(held, starts, [*starts[1:], 3000]):
+        known = [tuple(r) for r in some[lo:hi] if None not in r[1:]] + ([buffer] if buffer else [])
+        want.append(max(((t, -i) for _, t, i in known), default=None))
+    monkeypatch.setattr(Newest, "reduce", None)  # not once per key
+    got = Newest("v", "t", "i", "bigint").reduce_runs(held, rows, starts)
+    assert [b and (b[1], -b[2]) for b in got] == want

@@ -11,6 +11,7 @@ import pickle
 from collections.abc import Iterator, Sequence
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +21,8 @@ from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 
 #: Buffers a task holds before it sends them on; a key may then have several of one task.
 BUFFERS_A_TASK = 100_000
+#: Rows that a task reduces at a time.
+ROWS_AT_ONCE = 50_000
 BUFFER = "_buffer"
 _NAN = float("nan")
 
@@ -40,6 +43,14 @@ class UserAggregate:
         """The buffer with some rows of its key added; ``rows`` has ``columns`` only."""
         raise NotImplementedError
 
+    def reduce_runs(self, buffers: Sequence[Any], rows: pa.RecordBatch, starts: Sequence[int]) -> list[Any]:
+        """The buffers of several keys with their rows added; those of key ``i`` begin at ``starts[i]``.
+
+        Where keys have few rows each, an aggregate that does this for all of them at once saves a call per key.
+        """
+        ends = [*starts[1:], rows.num_rows]
+        return [self.reduce(b, rows.slice(lo, hi - lo)) for b, lo, hi in zip(buffers, starts, ends)]
+
     def merge(self, left: Any, right: Any) -> Any:
         raise NotImplementedError
 
@@ -81,12 +92,18 @@ class Newest(UserAggregate):
         return None
 
     def reduce(self, buffer, rows):
-        rows = pa.RecordBatch.from_arrays(rows.columns, names=["value", "order", "arrival"])
+        return self.reduce_runs([buffer], rows, [0])[0]
+
+    def reduce_runs(self, buffers, rows, starts):
+        run = np.repeat(np.arange(len(starts)), np.diff([*starts, rows.num_rows]))
+        rows = pa.RecordBatch.from_arrays([*rows.columns, pa.array(run)], names=["value", "order", "arrival", "run"])
         rows = rows.filter(pc.and_(pc.is_valid(rows.column(1)), pc.is_valid(rows.column(2))))
-        if not rows.num_rows:
-            return buffer
-        first = pc.sort_indices(rows, [("order", "descending"), ("arrival", "ascending")])[0].as_py()
-        return self.merge(buffer, tuple(rows.column(i)[first].as_py() for i in range(3)))
+        rows = rows.take(pc.sort_indices(rows, [("run", "ascending"), ("order", "descending"), ("arrival", "ascending")]))
+        found, first = np.unique(rows.column(3).to_numpy(), return_index=True)
+        merged = list(buffers)
+        for i, newest in zip(found.tolist(), zip(*(c.to_pylist() for c in rows.take(pa.array(first)).columns[:3]))):
+            merged[i] = self.merge(merged[i], newest)
+        return merged
 
     def merge(self, left, right):
         if left is None or right is None:
@@ -117,6 +134,18 @@ def _runs(keys: Sequence[pa.Array], n: int) -> list[int]:
     return [0, *(i + 1 for i in pc.indices_nonzero(new).to_pylist())]
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches put together to ``ROWS_AT_ONCE`` rows or a few more, so that a key has its rows in fewer of them."""
+    waiting: list[pa.RecordBatch] = []
+    for batch in batches:
+        waiting.append(batch)
+        if sum(b.num_rows for b in waiting) >= ROWS_AT_ONCE:
+            yield pa.concat_batches(waiting)
+            waiting = []
+    if waiting:
+        yield pa.concat_batches(waiting)
+
+
 def partial_buffers(df: DataFrame, keys: Sequence[str | Column], aggregate: UserAggregate) -> DataFrame:
     """The keys and ``_buffer``: what each task made of its rows. Such rows may be kept and merged with later ones."""
     named = df.select(*keys)
@@ -129,7 +158,7 @@ def partial_buffers(df: DataFrame, keys: Sequence[str | Column], aggregate: User
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buffers: dict[tuple, Any] = {}
         types = None
-        for batch in batches:
+        for batch in _gathered(batches):
             types = [batch.schema.field(i).type for i in range(n_keys)]
             if not batch.num_rows:
                 continue
@@ -138,9 +167,10 @@ def partial_buffers(df: DataFrame, keys: Sequence[str | Column], aggregate: User
                 batch = batch.take(pc.sort_indices(plain, [(f.name, "ascending") for f in arrow_keys]))
             starts = _runs(batch.columns[:n_keys], batch.num_rows)
             own = pa.RecordBatch.from_arrays(batch.columns[n_keys:], names=columns) if columns else batch
-            for key, lo, hi in zip(_key_tuples(batch.columns[:n_keys], starts), starts, [*starts[1:], batch.num_rows]):
-                buffer = buffers[key] if key in buffers else aggregate.zero()
-                buffers[key] = aggregate.reduce(buffer, own.slice(lo, hi - lo))
+            found = _key_tuples(batch.columns[:n_keys], starts)
+            reduced = aggregate.reduce_runs([aggregate.zero() for _ in found], own, starts)
+            for key, buffer in zip(found, reduced):  # a key may come twice: not-a-numbers differ for Arrow
+                buffers[key] = aggregate.merge(buffers[key], buffer) if key in buffers else buffer
             if len(buffers) > BUFFERS_A_TASK:
                 yield _batch(buffers, types, names)
                 buffers = {}
