@@ -10,7 +10,9 @@ from streams import FileFeed
 
 from tidemill.operators import cluster, user_aggregate
 from tidemill.operators.user_aggregate import Average, Newest
+from tidemill.plans import feeds, inputs
 from tidemill.sources.buckets import BucketedTable
+from tidemill.sources.changelog import ChangeLog
 from tidemill.streaming import sinks
 from tidemill.streaming import tables as jobs
 
@@ -182,3 +184,20 @@ def test_newest_of_many_keys_at_once(monkeypatch):
     monkeypatch.setattr(Newest, "reduce", None)  # not once per key
     got = Newest("v", "t", "i", "bigint").reduce_runs(held, rows, starts)
     assert [b and (b[1], -b[2]) for b in got] == want
+
+
+def test_changes_for_one_table_are_not_cached(spark, data, tmp_path, monkeypatch):
+    """Its records are read once, straight into the log; two tables share them."""
+    batch, cached = inputs.order_changes(spark, data), []
+    kind, keep = type(batch), type(batch).persist
+    monkeypatch.setattr(kind, "persist", lambda self, *a: cached.append(1) or keep(self, *a))
+
+    def run(*names):
+        logs = [ChangeLog(inputs.order_target(spark, data), str(tmp_path / f"{len(names)}-{n}"), ["o_orderkey"]) for n in names]
+        targets = {n: jobs.CdcTarget(log, feeds.ORDER_KEY, feeds.ORDER_VALUE) for n, log in zip(names, logs)}
+        jobs.CdcMerge(targets).process(batch, 0)
+        return logs[0].read().count()
+
+    one = run(inputs.NAMESPACE)
+    assert not cached
+    assert run(inputs.NAMESPACE, "shop.other") == one and cached

@@ -35,13 +35,17 @@ class CdcMerge:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """Log one micro-batch of envelope records; a repeat replaces its own changes."""
-        records = cdc_records(batch).persist()
+        records = cdc_records(batch)
+        shared = len(self.targets) > 1  # one target reads them once
+        if shared:
+            records.persist()
         try:
             for namespace, target in self.targets.items():
                 rows = cdc_rows(records, namespace, target.key_schema, target.value_schema)
                 target.table.append(rows, ["timestamp", "partition", "offset"], batch_id)
         finally:
-            records.unpersist()
+            if shared:
+                records.unpersist()
 
 
 class DistinctCounts:
