@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pickle
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -23,36 +25,73 @@ def idle_counts(df: DataFrame, key: str, ts: str, idle: str = "10 seconds", dela
     return counted.select(key, F.col("session.start").alias("session_start"), "session_end", "count")
 
 
+#: Groups of keys, each with one state and one timer.
+GROUPS = 512
+
+
+def _plain(key):
+    """A key as a value that is equal where Spark's grouping is."""
+    return (float("nan") if key != key else key + 0.0) if isinstance(key, float) else key
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per key and Arrow batch, so that a hot key sends few rows through the shuffle."""
     for batch in batches:
         counts = pa.Table.from_batches([batch]).group_by("key").aggregate([([], "count_all")])
-        yield from counts.rename_columns(["key", "count"]).to_batches()
+        keys = [pickle.dumps(_plain(k), 4) for k in counts.column("key").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([zlib.crc32(k) % GROUPS for k in keys], pa.int32()), pa.array(keys, pa.binary()), pa.array(counts.column("count_all").to_pylist(), pa.int64())],
+            names=["group", "key", "count"],
+        )
 
 
 class _Silence(StatefulProcessor):
-    """State per key: rows so far, and one timer at which the key counts as silent."""
+    """State per group of keys: of each key its rows so far and when it counts as silent; one timer, for the first of them.
+
+    A call of the state store or of a timer goes through a socket, so there are a few per group and batch, not per key.
+    """
 
     def __init__(self, idle_millis: int, out: str):
         self.idle_millis, self.out = idle_millis, out
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._rows = handle.getValueState("rows", "n bigint")
+        self._held = handle.getValueState("held", "keys binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        seen = self._rows.get()[0] if self._rows.exists() else 0
-        self._rows.update((seen + sum(int(part["count"].sum()) for part in rows),))
-        for millis in list(self._handle.listTimers()):
-            self._handle.deleteTimer(millis)
-        self._handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_millis)
+        held, timer = pickle.loads(bytes(self._held.get()[0])) if self._held.exists() else ({}, None)
+        due = timerValues.getCurrentProcessingTimeInMs() + self.idle_millis
+        for part in rows:
+            for name, n in zip(part["key"], part["count"].tolist()):
+                name = bytes(name)
+                held[name] = held[name][0] + n if name in held else n, due
+        self._keep(held, timer)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self._rows.exists():
-            (n,) = self._rows.get()
-            self._rows.clear()
-            yield pd.DataFrame({self.out: pd.Series([key[0]], dtype=object), "count": [n]})
+        if not self._held.exists():
+            return
+        held, timer = pickle.loads(bytes(self._held.get()[0]))
+        now = timerValues.getCurrentProcessingTimeInMs()
+        silent = [(pickle.loads(name), n) for name, (n, due) in held.items() if due <= now]
+        left = {name: kept for name, kept in held.items() if kept[1] > now}
+        if left:
+            self._keep(left, timer if timer > now else None)
+        else:
+            self._held.clear()
+        if silent:
+            keys, counts = zip(*silent)
+            yield pd.DataFrame({self.out: pd.Series(keys, dtype=object), "count": counts})
+
+    def _keep(self, held: dict, timer: int | None) -> None:
+        """Store the keys; a timer that is later than the first of them is replaced."""
+        first = min(due for _, due in held.values())
+        if timer is None or first < timer:
+            if timer is not None:
+                self._handle.deleteTimer(timer)
+            self._handle.registerTimer(first)
+            timer = first
+        self._held.update((pickle.dumps((held, timer)),))
 
     def close(self) -> None:
         pass
@@ -61,13 +100,14 @@ class _Silence(StatefulProcessor):
 def silence_counts(df: DataFrame, key: str, idle_seconds: float) -> DataFrame:
     """``key, count`` once a key has had no row for ``idle_seconds`` of processing time; its state ends with it. Append mode.
 
-    Each batch with rows of a key moves the key's timer. Timers fire in the batches of a processing-time trigger, with
+    Each batch with rows of a key moves the key's time. Timers fire in the batches of a processing-time trigger, with
     or without new rows; with ``availableNow`` such a query does not end (see :func:`tidemill.streaming.sinks.run_until_quiet`).
-    Rows are counted before the shuffle. Needs the RocksDB state store.
+    Rows are counted before the shuffle. Keys are dealt into ``GROUPS`` groups by a hash; a task holds the keys of one
+    group at a time, and a batch writes the state of the groups it has rows of. Needs the RocksDB state store.
     """
     kind = df.schema[key].dataType
     counted = df.select(F.col(key).alias("key")).mapInArrow(
-        _counted, T.StructType().add("key", kind).add("count", T.LongType())
+        _counted, T.StructType().add("group", T.IntegerType()).add("key", T.BinaryType()).add("count", T.LongType())
     )
     out = T.StructType().add(key, kind).add("count", T.LongType())
-    return counted.groupBy("key").transformWithStateInPandas(_Silence(round(idle_seconds * 1000), key), out, "Append", "ProcessingTime")
+    return counted.groupBy("group").transformWithStateInPandas(_Silence(round(idle_seconds * 1000), key), out, "Append", "ProcessingTime")
