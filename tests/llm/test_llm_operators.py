@@ -437,6 +437,21 @@ def test_passage_classes(spark):
     assert by_id[32].sources == [3] and by_id[32].n_repeated_words == 120 and by_id[32].passages[0].alike == 1.0
 
 
+def test_passages_among_many_parts(spark):
+    """A passage is found though all its seeds come first, and right before it, in documents with stray pieces alone."""
+    rng = random.Random(13)
+    fresh = lambda n: [f"v{rng.randrange(10**9)}" for _ in range(n)]
+    whole = fresh(90)
+    pieces = [whole[i : i + 9] for i in range(0, 90, 9)]
+    stray = lambda: [w for piece in pieces for w in piece + fresh(70)]
+    edited = lambda: [w if i % 9 else f"x{rng.randrange(10**9)}" for i, w in enumerate(whole)]
+    texts = {1: stray(), 2: fresh(20) + whole + fresh(20), **{d: stray() for d in range(3, 9)}, 9: fresh(40) + edited() + fresh(9)}
+    texts |= {**{d: stray() for d in range(10, 14)}, 14: edited() + fresh(5)}
+    got = {r.doc_id: r for r in repeated_passages(spark.createDataFrame([(d, " ".join(w)) for d, w in texts.items()], "doc_id long, text string")).collect()}
+    assert got[9].sources == [2] and got[9].n_repeated_words >= 80 and set(got[14].sources) <= {2, 9} and got[14].n_repeated_words >= 72
+    assert {d: (r.class_id, r.class_docs) for d, r in got.items()} == {d: (2, 3) if d in (2, 9, 14) else (d, 1) for d in texts}
+
+
 def test_passages_of_shared_ids_and_long_texts(spark):
     """Rows without an id are told apart; a text of millions of bytes is aligned like any other."""
     rng = random.Random(12)
