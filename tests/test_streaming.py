@@ -77,6 +77,22 @@ def test_interval_join(spark, tmp_path, splits):
     assert sorted(rows) == [("drink", "Jason"), ("drink", "John"), ("printer", "Jane"), ("printer", "Jim")]
 
 
+@pytest.mark.parametrize("splits", [1, 2])
+def test_interval_join_meets_by_time(spark, tmp_path, splits):
+    """Rows of one ad meet by steps of time, and no pair is lost or doubled at the edges of steps."""
+    shown = FileFeed(spark, tmp_path / "i", "impression_time timestamp, impression_ad_id int, i int")
+    clicked = FileFeed(spark, tmp_path / "c", "click_time timestamp, click_ad_id int, c int")
+    times = [f"{h:02}:{m:02}:00" for h in range(13) for m in (0, 1, 59)]
+    shown.add([(at(t), 1, i) for i, t in enumerate(times)])
+    clicked.add([(at(t), 1, i) for i, t in enumerate(times)] + [(None, 1, -1)])
+    joined = flows.clicks_after_impressions(shown.stream(), clicked.stream(), splits=splits)
+    assert joined.columns == ["impression_time", "impression_ad_id", "i", "click_time", "click_ad_id", "c"]
+    assert "_click_step" in joined._jdf.queryExecution().analyzed().toString()
+    rows = [(r[2], r[5]) for b in run_all(joined, tmp_path) for r in b]
+    near = [(i, c) for i, s in enumerate(times) for c, t in enumerate(times) if 0 <= (at(t) - at(s)).total_seconds() <= 3600]
+    assert sorted(rows) == sorted(near)
+
+
 def test_dedup_and_static_join(spark, tmp_path):
     feed = FileFeed(spark, tmp_path / "in", "name string, age int")
     feed.add([("Jack", 12), ("Jason", 40)])

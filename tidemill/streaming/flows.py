@@ -90,8 +90,11 @@ def clicks_after_impressions(
 
     Expects ``impression_time, impression_ad_id`` and ``click_time, click_ad_id``.
     The two watermarks and the interval tell Spark when a row can be forgotten.
-    A stream cannot re-plan a hot ad: ``splits`` spreads each ad's impressions over
-    that many state partitions and shows every click to all of them.
+    Time is part of the join key, in steps of four times ``within``: a click looks
+    into its own step and, if the interval begins there, the one before, so an ad's
+    rows far apart in time never meet, also within one large batch.
+    A stream cannot re-plan an ad that is hot within a step: ``splits`` spreads its
+    impressions over that many state partitions and shows every click to all of them.
     """
     shown = impressions.withWatermark("impression_time", impression_delay)
     clicked = clicks.withWatermark("click_time", click_delay)
@@ -99,13 +102,19 @@ def clicks_after_impressions(
         f"click_ad_id = impression_ad_id AND click_time >= impression_time "
         f"AND click_time <= impression_time + INTERVAL {within}"
     )
+    step = f"(4 * unix_micros(timestamp_micros(0) + INTERVAL {within}))"
+    shown = shown.withColumn("_impression_step", F.expr(f"unix_micros(impression_time) div {step}"))
+    clicked = clicked.withColumn("_click_step", F.expr(
+        f"explode(sequence(unix_micros(click_time - INTERVAL {within}) div {step}, unix_micros(click_time) div {step}))"
+    ))
+    condition = f"_click_step = _impression_step AND {condition}"
     if splits == 1:
-        return shown.join(clicked, F.expr(condition))
-    part = F.pmod(F.xxhash64(*[F.col(c) for c in shown.columns]), F.lit(splits)).cast("int")
+        return shown.join(clicked, F.expr(condition)).drop("_impression_step", "_click_step")
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in impressions.columns]), F.lit(splits)).cast("int")
     shown = shown.withColumn("_impression_part", part)
     clicked = clicked.withColumn("_click_part", F.explode(F.sequence(F.lit(0), F.lit(splits - 1))))
     joined = shown.join(clicked, F.expr(f"_click_part = _impression_part AND {condition}"))
-    return joined.drop("_impression_part", "_click_part")
+    return joined.drop("_impression_part", "_click_part", "_impression_step", "_click_step")
 
 
 def users_per_window(df: DataFrame, ts: str, user: str, width: str = "10 seconds", delay: str = "10 seconds") -> DataFrame:
