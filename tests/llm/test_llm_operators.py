@@ -452,6 +452,20 @@ def test_passages_among_many_parts(spark):
     assert {d: (r.class_id, r.class_docs) for d, r in got.items()} == {d: (2, 3) if d in (2, 9, 14) else (d, 1) for d in texts}
 
 
+def test_passages_of_repeated_words(spark):
+    """Runs of one word meet by their ends: whole passages and classes, but no passage for each place in a run."""
+    rng = random.Random(14)
+    fresh = lambda n: [f"v{rng.randrange(10**9)}" for _ in range(n)]
+    run = lambda sizes: [w for k, n in enumerate(sizes) for w in [f"w{k}"] * n]
+    texts = {d: fresh(30) + run([9] * 12) + fresh(30) for d in range(1, 4)}
+    texts |= {d: [w for k in range(12) for w in [f"w{k}"] * (8 + d) + fresh(40)] for d in range(4, 14)}
+    texts |= {20: fresh(20) + run([100] * 12) + fresh(20), 21: fresh(9) + run([60] * 12), 22: run([120] * 12) + fresh(5)}
+    got = {r.doc_id: r for r in repeated_passages(spark.createDataFrame([(d, " ".join(w)) for d, w in texts.items()], "doc_id long, text string")).collect()}
+    assert got[2].sources == [1] and got[2].n_repeated_words == 108 and got[21].sources == [20] and got[21].n_repeated_words >= 600
+    assert got[22].sources == [20, 21] and got[22].n_repeated_words >= 1100 and got[22].n_passages < 45
+    assert {d: r.class_id for d, r in got.items()} == {d: 1 if d < 4 else 20 if d >= 20 else d for d in texts}
+
+
 def test_passages_of_shared_ids_and_long_texts(spark):
     """Rows without an id are told apart; a text of millions of bytes is aligned like any other."""
     rng = random.Random(12)
